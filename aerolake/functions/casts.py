@@ -69,13 +69,13 @@ def try_convert(text: Column, kind: str) -> Column:
 
 
 def misfit(text: Column, kind: str) -> Column:
-    """True when there is a text and it does not convert."""
-    return text.isNotNull() & try_convert(text, kind).isNull()
+    """True when there is a text and it does not convert. The conversion comes
+    first: it is then always evaluated, and shared with the value itself."""
+    return try_convert(text, kind).isNull() & text.isNotNull()
 
 
 def convert(text: Column, kind: str, label: str = "value") -> Column:
-    """Strict conversion: a misfit stops the query, a NULL stays NULL."""
-    return F.when(
-        misfit(text, kind),
-        F.raise_error(F.concat(F.lit(f"{label} is no {kind}: "), text)),
-    ).otherwise(try_convert(text, kind))
+    """Strict conversion: a misfit stops the query, a NULL stays NULL. (The
+    message is constant, which keeps the generated code of wide tables small.)"""
+    stop = F.raise_error(F.lit(f"{label}: the text does not fit {kind}"))
+    return F.when(misfit(text, kind), stop).otherwise(try_convert(text, kind))

@@ -43,32 +43,29 @@ def root_key(data: Column) -> Column:
     return F.array_min(ranked)["root"]
 
 
-def open_documents(bronze: DataFrame, body: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: ``root``, ``body`` and ``unreadable``.
+def open_documents(bronze: DataFrame, body: str, keep: tuple[str, ...] = (),
+                   strict: bool = False) -> DataFrame:
+    """One row per document: ``root``, ``body`` and ``unreadable``; the last one
+    stops the query when ``strict``.
 
     The entry is produced by a generator on purpose. A filter on anything that
     was read from the document then stays above the parse; below it, Catalyst
     would repeat the parse inside the filter for every column mentioned.
     """
     parsed = bronze.select(*keep, "data", parse_document(F.col("data"), body).alias("_doc"))
-    entry = root_entry(F.col("_doc"))
-    unreadable = F.col("data").isNotNull() & F.col("_doc").isNull()
+    unreadable = F.col("_doc").isNull() & F.col("data").isNotNull()
+    if strict:
+        stop = F.raise_error(F.concat(F.lit("no JSON object: "), F.col("data")))
+        unreadable = F.when(unreadable, stop).otherwise(F.lit(False))
     found = parsed.select(
-        *keep, "data", unreadable.alias("unreadable"), entry.alias("_entry")
+        *keep, "data", unreadable.alias("unreadable"), root_entry(F.col("_doc")).alias("_entry")
     )
-    return found.select(
-        *keep,
-        "data",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("_entry.root").alias("root"),
-                    F.col("_entry.body").alias("body"),
-                    F.col("unreadable"),
-                )
-            )
-        ),
+    row = F.struct(
+        F.when(~F.col("unreadable"), F.col("_entry.root")).alias("root"),
+        F.when(~F.col("unreadable"), F.col("_entry.body")).alias("body"),
+        F.col("unreadable"),
     )
+    return found.select(*keep, "data", F.inline(F.array(row)))
 
 
 def path_text(body: Column, path: str) -> Column:

@@ -130,7 +130,7 @@ def atomic_pair(spark, sf):
     shown = {
         "bronze": (no_number, no_text),
         "silver": (F.col("temperatura"), no_text),
-        "quarantine": (no_number, F.array_join("problems", ",")),
+        "quarantine": (no_number, F.col("problems")),
     }
     parts = [
         incremental.read_pair(spark, target, part).select(
