@@ -313,21 +313,36 @@ def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFra
             return verdicts
 
 
-def _origins(judged: DataFrame) -> DataFrame:
-    """For each successful move the user it carries: ``state`` (its ordinal),
+def _identities(ok: DataFrame, initial: DataFrame, span: int) -> DataFrame:
+    """Successful requests with ``segment``: the request that last put a user at
+    the address before them (``ORIGINAL`` if none did). Refused requests are
+    left out, as they put nobody anywhere."""
+    to = F.when(F.col("side") == "to", F.col("ordinal")).otherwise(F.lit(VACANT))
+    state = (
+        F.when(F.col("op") == "insert", F.col("ordinal"))
+        .when(F.col("op") == "delete", F.lit(VACANT))
+        .when(F.col("moves"), to)
+    )
+    stated = state_before(_timeline(ok).withColumn("state", state), initial, span)
+    found = stated.filter(F.col("side") == "from").select("ordinal", F.col("before").alias("segment"))
+    return ok.join(found, "ordinal")
+
+
+def _origins(named: DataFrame) -> DataFrame:
+    """For each move the user it carries: ``segment`` (the move's ordinal),
     ``origin`` (``ORIGINAL`` or an insert's ordinal) and ``origin_email``.
     Chains of moves are halved every round."""
     pointers = _stage(
-        judged.filter(F.col("moves") & (F.col("outcome") == "ok")).select(
-            F.col("ordinal").alias("state"),
-            F.col("here").alias("origin"),
+        named.filter("moves").select(
+            F.col("ordinal").alias("segment"),
+            F.col("segment").alias("origin"),
             F.col("email").alias("origin_email"),
         ),
         "origins",
     )
     while True:
         step = pointers.select(
-            F.col("state").alias("origin"),
+            F.col("segment").alias("origin"),
             F.col("origin").alias("_next"),
             F.col("origin_email").alias("_email"),
         )
@@ -335,7 +350,7 @@ def _origins(judged: DataFrame) -> DataFrame:
             return pointers
         pointers = _stage(
             pointers.join(step, "origin", "left").select(
-                "state",
+                "segment",
                 F.coalesce("_next", "origin").alias("origin"),
                 F.coalesce("_email", "origin_email").alias("origin_email"),
             ),
@@ -366,12 +381,11 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
 
     # Every successful request belongs to one user: an original or an inserted one.
     ok = judged.filter(F.col("outcome") == "ok")
-    named = lookup_join(
-        ok.withColumn("state", F.when(F.col("op") == "insert", F.col("ordinal"))
-                      .otherwise(F.col("here"))),
-        _origins(judged), "state", "left",
+    named = _stage(_identities(ok, initial, span), "identities").withColumn(
+        "segment", F.when(F.col("op") == "insert", F.col("ordinal")).otherwise(F.col("segment"))
     )
-    origin = F.coalesce("origin", "state")
+    named = lookup_join(named, _origins(named), "segment", "left")
+    origin = F.coalesce("origin", "segment")
     owner = F.when(
         origin == ORIGINAL, F.concat(F.lit("u:"), F.coalesce("origin_email", "email"))
     ).otherwise(F.concat(F.lit("i:"), origin.cast("string")))
@@ -381,9 +395,7 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
     gone = owned.filter(F.col("op") == "delete").select("owner")  # one delete per user
     base = users.withColumn("owner", F.concat(F.lit("u:"), F.col("email"))).unionByName(
         inserted_rows(
-            ok.filter(F.col("op") == "insert").withColumn(
-                "owner", F.concat(F.lit("i:"), F.col("ordinal").cast("string"))),
-            now, salt, ("owner",),
+            owned.filter(F.col("op") == "insert"), now, salt, ("owner",),
         )
     )
     kept = base.join(gone, "owner", "left_anti").join(folded, "owner", "left")

@@ -243,7 +243,8 @@ def _field_checks(df: DataFrame, field: Field) -> list[Column]:
 def check_contract(df: DataFrame, contract: str | tuple[Field, ...]) -> DataFrame:
     fields = CONTRACTS[contract] if isinstance(contract, str) else contract
     checks = [c for field in fields for c in _field_checks(df, field)]
-    return df.withColumn("violations", F.array_compact(F.array(*checks)))
+    found = F.array_compact(F.array(*checks)).cast("array<struct<column:string,rule:string>>")
+    return df.withColumn("violations", found)
 
 
 def validate_contract(df: DataFrame, contract: str | tuple[Field, ...],

@@ -45,8 +45,15 @@ def air_quality_etl(spark: SparkSession, places: DataFrame, weather_fetcher: Fet
     weather = responses(place_source.weather_requests, weather_fetcher, "weather-responses")
     air = responses(place_source.air_quality_requests, air_fetcher, "air-responses")
     air = reshape.ok_responses(air, mode="strict")
-    tables.bronze_append_weather(spark, weather_documents(weather), prefix, ("ordinal",))
-    tables.bronze_append_air_quality(spark, air_quality_documents(air), prefix, ("ordinal",))
+    ready = [
+        (tables.bronze_rows(spark, documents, prefix + table, ("ordinal",)), prefix + table)
+        for documents, table in (
+            (weather_documents(weather), tables.WEATHER_BRONZE),
+            (air_quality_documents(air), tables.AIR_BRONZE),
+        )
+    ]
+    for rows, table in ready:
+        rows.write.insertInto(table)
 
 
 def prediction_etl(spark: SparkSession, cities: DataFrame, fetcher: Fetcher) -> DataFrame:

@@ -59,19 +59,29 @@ def last_id(spark: SparkSession, table: str, column: str = "id") -> int:
     return spark.table(table).agg(F.max(column)).head()[0] or 0
 
 
+def bronze_rows(spark: SparkSession, documents: DataFrame, table: str,
+                order_by: tuple[str, ...] = ()) -> DataFrame:
+    """``data`` rows with the next free ids of the table. They are computed and
+    stored by this call; what cannot become a document fails here."""
+    return surrogate_id(documents, order_by, last_id(spark, table)).select("id", "data")
+
+
 def bronze_append(spark: SparkSession, documents: DataFrame, table: str,
                   order_by: tuple[str, ...] = ()) -> None:
     """Append ``data`` rows with fresh ids, as one distributed write."""
-    numbered = surrogate_id(documents, order_by, last_id(spark, table))
-    numbered.select("id", "data").write.insertInto(table)
+    bronze_rows(spark, documents, table, order_by).write.insertInto(table)
+
+
+AIR_BRONZE = "bronze.google_api_data"
+WEATHER_BRONZE = "bronze.weather_api_data"
 
 
 def bronze_append_air_quality(spark, documents, prefix: str = "", order_by=()) -> None:
-    bronze_append(spark, documents, f"{prefix}bronze.google_api_data", order_by)
+    bronze_append(spark, documents, prefix + AIR_BRONZE, order_by)
 
 
 def bronze_append_weather(spark, documents, prefix: str = "", order_by=()) -> None:
-    bronze_append(spark, documents, f"{prefix}bronze.weather_api_data", order_by)
+    bronze_append(spark, documents, prefix + WEATHER_BRONZE, order_by)
 
 
 def silver_append(rows: DataFrame, path: str, day_of: str | None = None) -> None:

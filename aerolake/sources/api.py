@@ -21,13 +21,18 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from aerolake.session import shared_folder
 from aerolake.sources.places import call_columns
 
-# Worker processes get this module's functions by value, so executors need no
-# copy of the package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 Fetcher = Callable[[str, str, dict, str], tuple[int, str]]
 
 
+def _portable(fetcher: Fetcher) -> Fetcher:
+    """Send this module's and the fetcher's functions to the workers by value, so
+    that executors need no copy of either on their path."""
+    for name in (__name__, getattr(fetcher, "__module__", None)):
+        if name in sys.modules and name != "__main__":
+            cloudpickle.register_pickle_by_value(sys.modules[name])
+    return fetcher
+
+
 def http_fetcher(key_variable: str, key_parameter: str, timeout: float = 30.0) -> Fetcher:
     """Real calls with the standard library. The API key is read from the named
     environment variable of the executor, so it never enters a DataFrame."""
@@ -73,6 +78,7 @@ def fan_out(requests: DataFrame, fetcher: Fetcher, parallelism: int | None = Non
     requests of one place do not gather on one task). A lost task repeats its
     calls; land the result before using it twice.
     """
+    _portable(fetcher)
     calls = call_columns(requests)
     if parallelism:
         calls = calls.repartition(parallelism)
@@ -163,7 +169,7 @@ def read_api(spark: SparkSession, name: str, requests: DataFrame, fetcher: Fetch
     calls = call_columns(requests)
     folder = shared_folder(spark, f"requests-{name}")
     calls.write.parquet(folder)
-    spark.dataSource.register(api_source(name, fetcher))
+    spark.dataSource.register(api_source(name, _portable(fetcher)))
     return (
         spark.read.format(name)
         .option("requests", folder)
