@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.functions.documents import name_based_uuid
-from aerolake.operators.skew import lookup_join
+from aerolake.operators.skew import hot_keys, lookup_join
 from aerolake.session import shared_folder
 
 CHANGEABLE = model.USER_FIELDS
@@ -137,6 +137,7 @@ def judge_updates(users: DataFrame, requests: DataFrame) -> DataFrame:
     met = lookup_join(
         email_change_conflict(users, requests),
         users.select("email", F.lit(True).alias("_there")), "email", "left",
+        hot=hot_keys(requests, "email"),
     )
     found = F.coalesce("_there", F.lit(False))
     outcome = request_outcome(

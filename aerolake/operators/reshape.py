@@ -140,15 +140,12 @@ def weather_document(flat: DataFrame) -> DataFrame:
 def latest_per_place(rows: DataFrame, place: str, ordinal: str) -> DataFrame:
     """One row per place, the last by ordinal (unique within the batch).
 
-    The last ordinals are found first, from two narrow columns and with a
-    map-side maximum, so a place with a third of all rows is one row per task
-    when it is shuffled. The documents then join on (place, ordinal): that key
-    is unique, so no place can gather on one task, and when the places are few
-    the join is a broadcast and no document moves at all.
+    Each task keeps its own last row per place before anything moves, so a place
+    with a third of all rows is one row per task when it is shuffled.
     """
-    last = rows.groupBy(place).agg(F.max(ordinal).alias("_last")).withColumnRenamed(place, "_place")
-    match = rows[place].eqNullSafe(last["_place"]) & (rows[ordinal] == last["_last"])
-    return rows.join(last, match, "left_semi")
+    others = [c for c in rows.columns if c != place]
+    last = rows.groupBy(place).agg(F.max_by(F.struct(*others), ordinal).alias("_last"))
+    return last.select(place, "_last.*").select(rows.columns)
 
 
 def dict_to_rows(df: DataFrame, column: str = "data") -> DataFrame:

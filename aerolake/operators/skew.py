@@ -5,28 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key above this share of the rows counts as hot. At most 1/share keys can be
-# above it, which bounds everything that is collected or broadcast here.
-HOT_SHARE = 0.002
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Candidates for hot keys: all keys above ``share`` of the rows, and never
-    more than about 1/share values. One scan of one column, merged map-side."""
-    found = df.select(key).freqItems([key], share).head()
-    return [k for k in (found[0] or []) if k is not None]
+# A key with this many rows is worth a path of its own; below, a task copes.
+HOT_ROWS = 1_000_000
+# No more keys than this are ever split off, which bounds what is collected and
+# broadcast. Any further key holds less than a thousandth of the rows, and
+# adaptive execution can still split its partition.
+MOST_HOT = 1000
+# Rows looked at to find them. This only picks the path of a key, never a result.
+LOOK_AT = 0.01
+
+
+def hot_keys(df: DataFrame, key: str, least: int | None = None,
+             fraction: float | None = None) -> list:
+    """The keys that seem to have at least ``least`` rows, largest first."""
+    least = HOT_ROWS if least is None else least
+    fraction = LOOK_AT if fraction is None else fraction
+    seen = df.select(key).filter(F.col(key).isNotNull())
+    if fraction < 1:
+        seen = seen.sample(fraction, seed=17)
+    counts = seen.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least * fraction)
+    return [r[0] for r in counts.orderBy(F.desc("_n")).limit(MOST_HOT).collect()]
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
-                share: float = HOT_SHARE) -> DataFrame:
+                hot: list | None = None) -> DataFrame:
     """``rows`` joined with ``table`` on ``key``, unique in ``table``.
 
-    Rows with hot keys join a broadcast of the few table rows they can match
-    (at most one per hot key); the others join as Spark sees fit. No key then
-    sends more than ``share`` of the rows to one task. Same rows as a plain join
-    for ``left``, ``inner``, ``left_semi`` and ``left_anti``.
+    Rows with hot keys join a broadcast of the few table rows they can match (at
+    most one per hot key) and are not shuffled; the others join as Spark sees
+    fit. Same rows as a plain join for ``left``, ``inner``, ``left_semi`` and
+    ``left_anti``. ``hot`` names the keys when they are known already.
     """
-    hot = hot_keys(rows, key, share)
+    if hot is None:
+        hot = hot_keys(rows, key)
     if not hot:
         return rows.join(table, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

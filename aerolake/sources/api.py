@@ -104,50 +104,39 @@ def fan_out(requests: DataFrame, fetcher: Fetcher, parallelism: int | None = Non
 
 
 @dataclass
-class RequestSlice(InputPartition):
-    """A run of rows inside one row group of a landed request file."""
-
+class RequestFile(InputPartition):
     file: str
-    row_group: int
-    start: int
-    rows: int
 
 
 def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
-    """A data source class reading API responses. Options: ``requests`` (folder
-    of landed request rows), ``columns`` (schema JSON), ``slice_rows`` (calls
-    per task, default 500)."""
+    """A data source class reading API responses, one task per landed request
+    file. Options: ``requests`` (the folder) and ``columns`` (schema JSON)."""
 
     class ApiReader(DataSourceReader):
         def __init__(self, schema, options):
             self.tags = [f.name for f in schema.fields[:-2]]
             self.folder = options["requests"]
-            self.slice_rows = int(options.get("slice_rows", "500"))
 
         def partitions(self):
             import pyarrow.dataset as ds
 
-            slices = []
-            for fragment in ds.dataset(self.folder, format="parquet").get_fragments():
-                for group in fragment.row_groups:
-                    for start in range(0, group.num_rows, self.slice_rows):
-                        rows = min(self.slice_rows, group.num_rows - start)
-                        slices.append(RequestSlice(fragment.path, group.id, start, rows))
-            return slices or [RequestSlice("", 0, 0, 0)]
+            files = ds.dataset(self.folder, format="parquet").files
+            return [RequestFile(f) for f in files] or [RequestFile("")]
 
         def read(self, partition):
-            if not partition.rows:
+            if not partition.file:
                 return
             import pyarrow.fs as pafs
             import pyarrow.parquet as pq
 
-            filesystem, _ = pafs.FileSystem.from_uri(self.folder) if "://" in self.folder \
-                else (pafs.LocalFileSystem(), None)
+            filesystem = pafs.LocalFileSystem()
+            if "://" in self.folder:
+                filesystem, _ = pafs.FileSystem.from_uri(self.folder)
             with filesystem.open_input_file(partition.file) as source:
-                table = pq.ParquetFile(source).read_row_group(partition.row_group)
-            rows = table.slice(partition.start, partition.rows).to_pylist()
-            for row, (status, body) in zip(rows, _responses(rows, fetcher)):
-                yield (*[row[t] for t in self.tags], status, body)
+                for batch in pq.ParquetFile(source).iter_batches():
+                    rows = batch.to_pylist()
+                    for row, (status, body) in zip(rows, _responses(rows, fetcher)):
+                        yield (*[row[t] for t in self.tags], status, body)
 
     class ApiSource(DataSource):
         @classmethod
@@ -164,17 +153,17 @@ def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
 
 
 def read_api(spark: SparkSession, name: str, requests: DataFrame, fetcher: Fetcher,
-             slice_rows: int = 500) -> DataFrame:
-    """Land request rows in the shared folder and read their responses."""
+             calls_per_task: int = 500) -> DataFrame:
+    """Land request rows in the shared folder and read their responses. A landed
+    file holds the calls of one task."""
     calls = call_columns(requests)
     folder = shared_folder(spark, f"requests-{name}")
-    calls.write.parquet(folder)
+    calls.write.option("maxRecordsPerFile", calls_per_task).parquet(folder)
     spark.dataSource.register(api_source(name, _portable(fetcher)))
     return (
         spark.read.format(name)
         .option("requests", folder)
         .option("columns", _response_schema(calls).json())
-        .option("slice_rows", str(slice_rows))
         .load()
     )
 

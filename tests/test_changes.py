@@ -7,7 +7,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerolake import model
-from aerolake.operators import changes
+from aerolake.operators import changes, skew
+
+
+
+@pytest.fixture(autouse=True, params=["hot", "plain"])
+def hot_path(request, monkeypatch):
+    """Every test with the hot keys split off and with plain joins."""
+    if request.param == "hot":
+        monkeypatch.setattr(skew, "HOT_ROWS", 10)
+        monkeypatch.setattr(skew, "LOOK_AT", 1.0)
+
 
 NOW = datetime(2025, 6, 1, 12)
 THEN = datetime(2025, 1, 1)

@@ -64,7 +64,7 @@ def test_data_source_and_fan_out_agree(spark):
         "concat('p', id) AS nome", "CAST(id AS double) AS latitude", "0.5D AS longitude")
     requests = places.weather_requests(rows)
     columns = ("nome", "latitude", "status", "body")
-    read = api.weather_source(spark, requests, weather_stub, slice_rows=5).select(*columns)
+    read = api.weather_source(spark, requests, weather_stub, calls_per_task=5).select(*columns)
     fanned = api.fan_out(requests, weather_stub, 4).select(*columns)
     assert read.rdd.getNumPartitions() >= 8
     assert sorted(read.collect()) == sorted(fanned.collect())
@@ -190,8 +190,10 @@ def test_lookup_join_equals_a_plain_join(spark, how):
               "WHEN id % 5 = 0 THEN 'hot but unknown' ELSE concat('k', id) END AS k")
     table = spark.range(0, 3000, 2).selectExpr("concat('k', id) AS k", "id AS v").union(
         frame(spark, [("hot", -1)], "k string, v long"))
-    assert {"hot", "hot but unknown"} <= set(skew.hot_keys(rows, "k"))
-    got = skew.lookup_join(rows, table, "k", how)
+    hot = skew.hot_keys(rows, "k", least=100, fraction=1.0)
+    assert hot == ["hot", "hot but unknown"]
+    assert skew.hot_keys(rows, "k") == []
+    got = skew.lookup_join(rows, table, "k", how, hot)
     want = rows.join(table, "k", how)
     assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
 
