@@ -13,7 +13,7 @@ of one kind; ``apply_changes`` takes any mix.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from aerolake import model
@@ -274,13 +274,16 @@ def _with_state(timeline: DataFrame, verdicts: DataFrame) -> DataFrame:
         .when(F.col("op") == "delete", F.lit(VACANT))
         .when(F.col("succeeds"), moved)
     )
-    return marked.withColumn("state", state).drop("succeeds")
+    return marked.withColumn("state", state)
 
 
 def _by_request(stated: DataFrame) -> DataFrame:
-    start = stated.filter(F.col("side") == "from").select("ordinal", F.col("before").alias("here"))
-    goal = stated.filter(F.col("side") == "to").select("ordinal", F.col("before").alias("there"))
-    return start.join(goal, "ordinal", "left")
+    """The state of both addresses of a request: ``here`` and ``there``."""
+    return stated.groupBy("ordinal").agg(
+        F.max(F.when(F.col("side") == "from", F.col("before"))).alias("here"),
+        F.max(F.when(F.col("side") == "to", F.col("before"))).alias("there"),
+        F.max("succeeds").alias("was"),
+    )
 
 
 def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFrame:
@@ -294,23 +297,28 @@ def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFra
     """
     real = F.col("moves") & ~F.col("rejected")
     verdicts = _stage(
-        timeline.filter(real).select("ordinal", F.lit(True).alias("succeeds")).distinct(), "moves"
+        timeline.filter(real & (F.col("side") == "from"))
+        .select("ordinal", F.lit(True).alias("succeeds")),
+        "moves",
     )
     if verdicts.isEmpty():
         return verdicts
     keys = timeline.filter(real).select("key").distinct()
     related = _stage(timeline.join(keys, "key", "left_semi"), "move-timeline")
     start = _stage(initial.join(keys, "key", "left_semi"), "move-start")
+    succeeds = (F.col("here") != VACANT) & (F.col("there") == VACANT)
     while True:
-        now = _by_request(state_before(_with_state(related, verdicts), start, span))
-        succeeds = (F.col("here") != VACANT) & (F.col("there") == VACANT)
-        fresh = _stage(
-            verdicts.withColumnRenamed("succeeds", "was").join(now, "ordinal")
-            .select("ordinal", "was", succeeds.alias("succeeds")),
+        stated = state_before(_with_state(related, verdicts), start, span)
+        fresh = _by_request(stated.filter(real)).select(
+            "ordinal", succeeds.alias("succeeds"), "was")
+        watch = Observation()
+        verdicts = _stage(
+            fresh.observe(
+                watch, F.count_if(F.col("was") != F.col("succeeds")).alias("changed")
+            ).select("ordinal", "succeeds"),
             "moves",
         )
-        verdicts = fresh.select("ordinal", "succeeds")
-        if fresh.filter(F.col("was") != F.col("succeeds")).isEmpty():
+        if not watch.get["changed"]:
             return verdicts
 
 
@@ -378,7 +386,9 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
         F.col("op"), F.col("here") != VACANT,
         F.coalesce(F.col("there") != VACANT, F.lit(False)), has_fields(), F.col("rejected"),
     )
-    judged = _stage(prepared.join(states, "ordinal").withColumn("outcome", outcome), "judged")
+    judged = _stage(
+        prepared.join(states.drop("was"), "ordinal").withColumn("outcome", outcome), "judged"
+    )
 
     # Every successful request belongs to one user: an original or an inserted one.
     ok = judged.filter(F.col("outcome") == "ok")
