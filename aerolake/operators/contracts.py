@@ -228,12 +228,16 @@ def _field_checks(df: DataFrame, field: Field) -> list[Column]:
     checks = []
     if not field.nullable:
         checks.append(F.when(check_required(raw), report("required")))
-    as_text = dict(df.dtypes)[field.column] == "string"
+    stored = dict(df.dtypes)[field.column]
     value = raw
     if field.kind != "text":
-        if as_text:
-            checks.append(F.when(check_type(raw, field.kind), report("type")))
         value = raw.try_cast(_PARSED[field.kind])
+        if stored == "string":
+            checks.append(F.when(check_type(raw, field.kind), report("type")))
+        elif field.kind == "int" and stored not in ("tinyint", "smallint", "int", "bigint"):
+            whole = F.coalesce(value.cast(stored) == raw, F.lit(False))
+            checks.append(F.when(raw.isNotNull() & ~whole, report("type")))
+            value = F.when(whole, value)
     for rule in field.rules:
         broken = value.isNotNull() & rule.broken(value)
         checks.append(F.when(broken, report(rule.name)))

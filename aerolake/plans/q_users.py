@@ -203,6 +203,33 @@ def apply_changes(spark, sf):
     return changes.apply_changes(b.users(spark, sf), mixed_requests(spark, sf), b.now())[0]
 
 
+@query("mixed_outcomes", f"""
+WITH {b.USERS_SQL}, {b.REQUESTS_SQL},
+batch AS (
+  SELECT *, CASE ordinal % 7 WHEN 0 THEN 'insert' WHEN 1 THEN 'delete' ELSE 'update' END AS op,
+         CASE ordinal % 7 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS leaves
+  FROM requests),
+seen AS (
+  SELECT *, coalesce(
+      last_value(leaves IGNORE NULLS) OVER (
+        PARTITION BY email ORDER BY ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+      CASE WHEN email IN (SELECT email FROM users) THEN 1 ELSE 0 END) AS there
+  FROM batch)
+SELECT ordinal, op, email, CASE
+    WHEN op = 'insert' THEN CASE there WHEN 1 THEN 'conflict' ELSE 'ok' END
+    WHEN there = 0 THEN 'not_found'
+    WHEN op = 'update' AND NOT (sets_name OR sets_status OR sets_notifications) THEN 'no_fields'
+    ELSE 'ok' END AS outcome
+FROM seen""")
+def mixed_outcomes(spark, sf):
+    """A mixed batch without moves: there SQL can follow each address by itself."""
+    batch = mixed_requests(spark, sf).withColumn(
+        "changes", F.when(F.col("op") == "update", F.map_filter("changes", lambda k, _: k != "email"))
+        .otherwise(F.col("changes")))
+    judged = changes.apply_changes(b.users(spark, sf), batch, b.now())[1]
+    return judged.select("ordinal", "op", "email", "outcome")
+
+
 # --- statistics ---------------------------------------------------------------
 
 

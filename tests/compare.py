@@ -52,9 +52,13 @@ if __name__ == "__main__":
     from pyspark.sql import SparkSession
 
     sf, names = sys.argv[1], sys.argv[2:] or list(entry.queries())
-    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-             .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    builder = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.shuffle.partitions", "8"))
+    for setting in filter(None, os.environ.get("COMPARE_CONF", "").split(",")):
+        builder = builder.config(*setting.split("="))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(sf), 0
     for name in names:

@@ -207,6 +207,30 @@ def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
     assert [r.v for r in lookups.page_rows(rows, "k", 4990, 200).collect()] == list(range(4990, 5000))
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans(spark, folder):
+    spark.range(100).selectExpr(
+        "concat('u', id) AS id", "concat(id, '@x.org') AS email", "'user' AS role",
+        "'active' AS signatureStatus", "'no' AS notifications").write.parquet(f"{folder}/users")
+    users = spark.read.parquet(f"{folder}/users")
+    by_id = plan(lookups.lookup_by_id(users, "u7"))
+    assert "EqualTo(id,u7)" in by_id
+    assert "TakeOrderedAndProject" in plan(lookups.page_rows(users, "email", 5, 10))
+    counted = plan(stats.user_stats(users))
+    assert counted.count("FileScan") == 1 and "Expand" not in counted
+    assert "email" not in counted.split("ReadSchema")[1]
+    events = users.selectExpr("id AS nome", "1 AS ordinal", "email AS doc")
+    last = plan(reshape.latest_per_place(events, "nome", "ordinal"))
+    assert last.count("Exchange") == 1 and "Window" not in last
+    ids = numbering.surrogate_id(users.select("email"), ("email",))
+    window = plan(ids).split("Window [")[1]
+    assert "email" not in window.split("FileScan")[0].split("HashAggregate")[0]
+    assert "CartesianProduct" not in plan(ids) and "NestedLoop" not in plan(ids)
+
+
 @pytest.mark.parametrize("skip,limit", [(-1, 10), (0, 0), (0, -5)])
 def test_page_arguments(spark, skip, limit):
     with pytest.raises(ValueError):
@@ -305,6 +329,13 @@ def test_contracts(spark, contract, schema, values, found):
     assert violations(spark, contract, schema, **values) == found
 
 
+def test_fractions_are_no_integers(spark):
+    fields = (contracts.Field("n", "int", (contracts.check_range(gt=0),)),)
+    rows = frame(spark, [(1, 1.0), (2, 1.5), (3, -2.0), (4, 1e30)], "key long, n double")
+    found = contracts.violations(contracts.check_contract(rows, fields), "key").collect()
+    assert {(r.key, r.rule) for r in found} == {(2, "type"), (3, "range"), (4, "type")}
+
+
 def test_unique_and_not_null(spark):
     rows = frame(spark, [(1, "a"), (2, "b"), (3, "a"), (4, None)], "key long, email string")
     assert {r.key for r in contracts.check_unique(rows, "email", "key").collect()} == {1, 3}
@@ -334,6 +365,23 @@ def test_tables_are_created_once_and_check_widths(spark, folder, catalog):
         spark.sql(f"INSERT INTO {name} (id, regiao) VALUES (2, '{'x' * 21}')")
 
 
+def test_silver_files_by_day(spark, folder):
+    rows = spark.range(20).selectExpr(
+        "id", "TIMESTAMP_NTZ '2025-01-06 23:00:00' + make_dt_interval(0, CAST(id % 4 AS INT)) AS data_medicao")
+    for _ in range(2):
+        tables.silver_append(rows, f"{folder}/silver", "data_medicao")
+    stored = spark.read.parquet(f"{folder}/silver")
+    assert stored.count() == 40
+    assert {str(r[0]) for r in stored.select("dia").distinct().collect()} == {"2025-01-06", "2025-01-07"}
+    assert "PartitionFilters: [isnotnull(dia" in plan(stored.filter("dia = DATE '2025-01-07'"))
+
+
+def test_bronze_scan_pushes_the_id(spark, folder):
+    spark.range(10).selectExpr("id", "'{}' AS data").write.parquet(f"{folder}/b")
+    new = landed.bronze_scan(spark, f"{folder}/b", after_id=6)
+    assert new.count() == 3 and "GreaterThan(id,6)" in plan(new)
+
+
 def test_seeding(spark, catalog):
     name = f"{catalog}dev.users"
     first, second = synthetic.synthetic_users(spark, 30, 1), synthetic.synthetic_users(spark, 7, 2)
