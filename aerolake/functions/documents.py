@@ -116,11 +116,12 @@ def wrap_document(place: Column, document: Column) -> Column:
 def epoch_to_local_text(seconds: Column, offset: Column) -> Column:
     """Epoch seconds moved by an offset in seconds, as ``yyyy-MM-dd HH:mm:ss``.
 
-    Counted from a zone-free origin, so the session zone has no part in it.
+    Counted from a zone-free origin and printed by a cast: ``date_format`` would
+    go through the session zone and its missing hours.
     """
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     moved = origin + F.make_dt_interval(secs=(seconds + offset).cast("decimal(18,6)"))
-    return F.date_format(moved, "yyyy-MM-dd HH:mm:ss")
+    return F.substring(moved.cast("string"), 1, 19)
 
 
 def name_based_uuid(*parts: Column) -> Column:

@@ -58,9 +58,9 @@ def check_length(least: int = 0, most: int | None = None) -> Rule:
 
 def check_digits(digits: int, places: int) -> Rule:
     def broken(value):
-        exact = value.cast("decimal(38,18)")
+        exact = value.try_cast("decimal(38,18)")
         fitted = exact.try_cast(f"decimal({digits},{places})")
-        return fitted.isNull() | (fitted != exact)
+        return exact.isNull() | fitted.isNull() | (fitted != exact)
 
     return Rule("digits", broken)
 

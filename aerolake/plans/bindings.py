@@ -189,7 +189,7 @@ def _pollutants_json() -> str:
 
 
 _STAMP_TEXT = (
-    "concat(date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+    "concat(replace(CAST(l_shipdate AS STRING), ' ', 'T'), "
     "CASE WHEN l_linenumber % 2 = 0 THEN 'Z' ELSE '-03:00' END)"
 )
 

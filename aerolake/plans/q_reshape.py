@@ -344,8 +344,8 @@ def json_path_text(spark, sf):
 def cast_timestamp_ntz(spark, sf):
     rows = b.table(spark, sf, "orders").selectExpr(
         "o_orderkey",
-        "concat(date_format(o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT)), "
-        "\"yyyy-MM-dd'T'HH:mm:ss\"), "
+        "concat(replace(CAST(o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT)) "
+        "AS STRING), ' ', 'T'), "
         "CASE o_orderkey % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '-03:00' ELSE '' END) AS s",
     )
     return rows.select("o_orderkey", casts.convert(F.col("s"), "timestamp").alias("t"))

@@ -32,9 +32,20 @@ def places_from_map(df: DataFrame, column: str = "places") -> DataFrame:
 
 
 def plain_number(number: Column) -> Column:
-    """A coordinate as plain decimal text, never in exponent form."""
-    text = number.cast("decimal(38,18)").cast("string")
-    return F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
+    """A coordinate as plain decimal text, never in exponent form.
+
+    The dot is set by hand: how a decimal with a scale turns to text depends on
+    the session (``0E-18``), a whole number has one form.
+    """
+    places = 18
+    scaled = (number.cast(f"decimal(28,{places})") * F.lit(10**places).cast("decimal(19,0)")).cast(
+        "decimal(38,0)"
+    )
+    digits = F.abs(scaled).cast("string")
+    digits = F.lpad(digits, F.greatest(F.char_length(digits), F.lit(places + 1)), F.lit("0"))
+    whole = F.substr(digits, F.lit(1), F.char_length(digits) - places)
+    fraction = F.regexp_replace(F.right(digits, F.lit(places)), r"(\d)0+$", "$1")
+    return F.concat(F.when(scaled < 0, "-").otherwise(""), whole, F.lit("."), fraction)
 
 
 def weather_requests(places: DataFrame) -> DataFrame:

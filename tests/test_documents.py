@@ -172,12 +172,16 @@ def test_one_parse_no_shuffle(spark, folder):
     assert "ReadSchema: struct<data:string>" in scan
 
 
-def test_epoch_to_local_text_ignores_the_session_zone(spark):
-    spark.conf.set("spark.sql.session.timeZone", "America/Belem")
+@pytest.mark.parametrize("dt,want", [
+    (1736164800, "2025-01-06 09:00:00"),
+    (908074800, "1998-10-11 00:00:00"),  # an hour that this zone's clocks skipped
+])
+def test_epoch_to_local_text_ignores_the_session_zone(spark, dt, want):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
     try:
-        rows = spark.createDataFrame([(1736164800, -10800)], "dt long, tz int")
+        rows = spark.createDataFrame([(dt, -10800)], "dt long, tz int")
         text = documents.epoch_to_local_text(F.col("dt"), F.col("tz"))
-        assert rows.select(text).head()[0] == "2025-01-06 09:00:00"
+        assert rows.select(text).head()[0] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

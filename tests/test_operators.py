@@ -26,6 +26,20 @@ def test_places_from_map(spark):
         places.places_from_map(frame(spark, [('{"x":[1]}',)], "places string")).collect()
 
 
+@pytest.mark.parametrize("value,text", [
+    (0.0, "0.0"), (-0.0, "0.0"), (5.0, "5.0"), (-48.4776, "-48.4776"), (0.0005, "0.0005"), (1e-9, "0.000000001"),
+    (-179.999999, "-179.999999"), (100.0, "100.0"), (10.01, "10.01"), (None, None),
+])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plain_number(spark, value, text, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = frame(spark, [(value,)], "v double")
+        assert rows.select(places.plain_number(F.col("v"))).head()[0] == text
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_requests(spark):
     rows = frame(spark, [("P", -1.4523, 0.0005)], "nome string, latitude double, longitude double")
     weather = places.weather_requests(rows).head()
@@ -318,7 +332,7 @@ def test_user_update_is_all_optional(spark):
     ("data_source", "id long, name string", dict(i=0, n=None), {("id", "range"), ("name", "required")}),
     ("weather", "id long, place_id long, source_id long, temperature double, humidity double, "
                 "wind_speed double, wind_direction string, created_at string",
-     dict(i=1, p=1, s=1, t=1000.0, h=1.0, w=1.123, d="1.5", c="2025-01-01"),
+     dict(i=1, p=1, s=1, t=1e30, h=1.0, w=1.123, d="1.5", c="2025-01-01"),
      {("temperature", "digits"), ("wind_speed", "digits"), ("wind_direction", "type")}),
     ("pollutant", "id long, place_id long, data_source_id long, dominant_pollutant string, "
                   "concentration double, metric_unit string, created_at string",
