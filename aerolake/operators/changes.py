@@ -13,7 +13,7 @@ of one kind; ``apply_changes`` takes any mix.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake import model
@@ -221,6 +221,10 @@ ORIGINAL = -2  # the user that had the address before the batch
 # Ordinals per window partition; see state_before.
 SPAN = 1 << 16
 
+# Share of flipped moves below which a round looks only at their neighbours;
+# finding the neighbours costs about as much as looking at all moves.
+FEW_FLIPS = 0.001
+
 
 def _stage(df: DataFrame, purpose: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, purpose)
@@ -228,30 +232,34 @@ def _stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def state_before(timeline: DataFrame, initial: DataFrame, span: int = SPAN) -> DataFrame:
-    """``timeline`` (``key, ordinal, state, ...``; ``state`` NULL when the row
-    leaves the address as it is) with ``before``: the state of the address just
-    before the row.
+def state_before(timeline: DataFrame, by: tuple[str, ...], span: int = SPAN,
+                 initial: DataFrame | None = None) -> DataFrame:
+    """``timeline`` (``ordinal, state`` and the ``by`` columns; ``state`` NULL
+    where a row changes nothing) with ``before``: the state just before the row.
+    The first state comes from the column ``start``, or is ``ORIGINAL`` for the
+    keys in ``initial`` and ``VACANT`` for others.
 
-    A running window per address would put a hot address on one task. Ordinals
-    are cut into spans: the window runs inside (address, span), at most ``span``
-    rows, and a second one over one row per (address, span) carries the state
-    across.
+    A running window per key would put a hot key on one task. Ordinals are cut
+    into spans: the window runs inside (key, span), at most ``span`` rows, and a
+    second one over one row per (key, span) carries the state across.
     """
     cut = timeline.withColumn("_span", F.floor(F.col("ordinal") / span))
-    inside = Window.partitionBy("key", "_span").orderBy("ordinal").rowsBetween(
-        Window.unboundedPreceding, -1)
-    across = Window.partitionBy("key").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (
-        cut.groupBy("key", "_span")
-        .agg(F.max_by("state", F.when(F.col("state").isNotNull(), F.col("ordinal"))).alias("_end"))
-        .withColumn("_carry", F.last("_end", ignorenulls=True).over(across))
-        .join(initial.select("key", F.lit(ORIGINAL).cast("bigint").alias("_start")), "key", "left")
-        .select("key", "_span", F.coalesce("_carry", "_start", F.lit(VACANT)).alias("_carry"))
-    )
+    cells = [*by, "_span"]
+    so_far = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*cells).orderBy("ordinal").rowsBetween(*so_far)
+    across = Window.partitionBy(*by).orderBy("_span").rowsBetween(*so_far)
+    totals = [F.max_by("state", F.when(F.col("state").isNotNull(), F.col("ordinal"))).alias("_end")]
+    if initial is None:
+        totals.append(F.max("start").alias("_start"))
+    spans = cut.groupBy(*cells).agg(*totals).withColumn(
+        "_carry", F.last("_end", ignorenulls=True).over(across))
+    if initial is not None:
+        known = initial.withColumn("_start", F.lit(ORIGINAL).cast("bigint"))
+        spans = spans.join(known, list(by), "left")
+    spans = spans.select(*cells, F.coalesce("_carry", "_start", F.lit(VACANT)).alias("_carry"))
     within = cut.withColumn("_prior", F.last("state", ignorenulls=True).over(inside))
     return (
-        within.join(spans, ["key", "_span"])
+        within.join(spans, cells)
         .withColumn("before", F.coalesce("_prior", "_carry"))
         .drop("_span", "_prior", "_carry")
     )
@@ -265,24 +273,44 @@ def _timeline(requests: DataFrame) -> DataFrame:
     return requests.select("ordinal", "op", "moves", "rejected", F.inline(sides))
 
 
-def _with_state(timeline: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """What each row does to its address, given which moves succeed."""
-    marked = timeline.join(verdicts, "ordinal", "left")
-    moved = F.when(F.col("side") == "to", F.col("ordinal")).otherwise(F.lit(VACANT))
-    state = (
+def _moved_to() -> Column:
+    """What a successful move does to the address of a row."""
+    return F.when(F.col("side") == "to", F.col("ordinal")).otherwise(F.lit(VACANT))
+
+
+def _state_set(succeeds: Column) -> Column:
+    """The state that a row leaves behind; NULL when it leaves the old one."""
+    return (
         F.when(F.col("op") == "insert", F.col("ordinal"))
         .when(F.col("op") == "delete", F.lit(VACANT))
-        .when(F.col("succeeds"), moved)
+        .when(succeeds, _moved_to())
     )
-    return marked.withColumn("state", state)
 
 
-def _by_request(stated: DataFrame) -> DataFrame:
+def _by_request(stated: DataFrame, *more: Column) -> DataFrame:
     """The state of both addresses of a request: ``here`` and ``there``."""
     return stated.groupBy("ordinal").agg(
         F.max(F.when(F.col("side") == "from", F.col("before"))).alias("here"),
         F.max(F.when(F.col("side") == "to", F.col("before"))).alias("there"),
-        F.max("succeeds").alias("was"),
+        *more,
+    )
+
+
+def _move_slots(timeline: DataFrame, initial: DataFrame, span: int) -> DataFrame:
+    """The rows of moves with their slot: the address and the last insert or
+    delete there. After an insert an address is taken and after a delete it is
+    free, whatever came before, so moves only matter to each other within a slot
+    (``key, since``) and the slot's first state (``start``) is known."""
+    decides = F.col("moves") | F.col("op").isin("insert", "delete")
+    rows = timeline.filter(decides & ~F.col("rejected"))
+    taken = F.when(F.col("op") == "insert", F.col("ordinal") * 2 + 1).when(
+        F.col("op") == "delete", F.col("ordinal") * 2)
+    stated = state_before(rows.withColumn("state", taken), ("key",), span, initial)
+    since = F.col("before")
+    start = (since == ORIGINAL) | ((since >= 0) & (since % 2 == 1))
+    return stated.filter("moves").select(
+        "ordinal", "side", "key", since.alias("since"),
+        F.when(start, F.lit(ORIGINAL)).otherwise(F.lit(VACANT)).cast("bigint").alias("start"),
     )
 
 
@@ -290,49 +318,51 @@ def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFra
     """Which moves succeed (``ordinal, succeeds``).
 
     A move needs its user and a free target, which earlier moves may decide. The
-    guess "all succeed" is recomputed from itself until nothing changes. Each
-    round settles at least the first wrong move, all before it being right, so
-    the end is the one-at-a-time result; the rounds needed are the length of the
-    longest chain of moves that overturn each other.
+    guess "all succeed" is recomputed from itself until nothing flips. Each round
+    settles at least the first wrong move, all before it being right, so the end
+    is the one-at-a-time result; the rounds needed are the length of the longest
+    chain of moves that overturn each other. Once few moves flip, only those that
+    share a slot with a flipped one are looked at again.
     """
-    real = F.col("moves") & ~F.col("rejected")
-    verdicts = _stage(
-        timeline.filter(real & (F.col("side") == "from"))
-        .select("ordinal", F.lit(True).alias("succeeds")),
-        "moves",
-    )
-    if verdicts.isEmpty():
-        return verdicts
-    keys = timeline.filter(real).select("key").distinct()
-    related = _stage(timeline.join(keys, "key", "left_semi"), "move-timeline")
-    start = _stage(initial.join(keys, "key", "left_semi"), "move-start")
+    slots = _stage(_move_slots(timeline, initial, span), "move-slots")
+    verdicts = slots.filter(F.col("side") == "from").select(
+        "ordinal", F.lit(True).alias("succeeds"))
+    slot = ["key", "since"]
+    few = verdicts.count() * FEW_FLIPS
+    scope, looked_at = slots, None
     succeeds = (F.col("here") != VACANT) & (F.col("there") == VACANT)
     while True:
-        stated = state_before(_with_state(related, verdicts), start, span)
-        fresh = _by_request(stated.filter(real)).select(
-            "ordinal", succeeds.alias("succeeds"), "was")
-        watch = Observation()
+        marked = scope.join(verdicts, "ordinal").withColumn(
+            "state", F.when(F.col("succeeds"), _moved_to()))
+        stated = state_before(marked, tuple(slot), span)
+        fresh = _by_request(stated, F.max("succeeds").alias("was"))
+        if looked_at is not None:
+            fresh = fresh.join(looked_at, "ordinal", "left_semi")
+        flips = _stage(
+            fresh.select("ordinal", "was", succeeds.alias("now")).filter("was <> now"), "flips")
+        flipped_moves = flips.count()
+        if not flipped_moves:
+            return verdicts
         verdicts = _stage(
-            fresh.observe(
-                watch, F.count_if(F.col("was") != F.col("succeeds")).alias("changed")
-            ).select("ordinal", "succeeds"),
-            "moves",
+            verdicts.join(flips.select("ordinal", "now"), "ordinal", "left").select(
+                "ordinal", F.coalesce("now", "succeeds").alias("succeeds")),
+            "verdicts",
         )
-        if not watch.get["changed"]:
-            return verdicts
+        if flipped_moves > few:
+            scope, looked_at = slots, None
+            continue
+        flipped = slots.join(flips, "ordinal", "left_semi").select(*slot).distinct()
+        looked_at = slots.join(flipped, slot, "left_semi").select("ordinal").distinct()
+        needed = slots.join(looked_at, "ordinal", "left_semi").select(*slot).distinct()
+        scope = slots.join(needed, slot, "left_semi")
 
 
 def _identities(ok: DataFrame, initial: DataFrame, span: int) -> DataFrame:
     """Successful requests with ``segment``: the request that last put a user at
     the address before them (``ORIGINAL`` if none did). Refused requests are
     left out, as they put nobody anywhere."""
-    to = F.when(F.col("side") == "to", F.col("ordinal")).otherwise(F.lit(VACANT))
-    state = (
-        F.when(F.col("op") == "insert", F.col("ordinal"))
-        .when(F.col("op") == "delete", F.lit(VACANT))
-        .when(F.col("moves"), to)
-    )
-    stated = state_before(_timeline(ok).withColumn("state", state), initial, span)
+    timeline = _timeline(ok).withColumn("state", _state_set(F.col("moves")))
+    stated = state_before(timeline, ("key",), span, initial)
     found = stated.filter(F.col("side") == "from").select("ordinal", F.col("before").alias("segment"))
     return ok.join(found, "ordinal")
 
@@ -381,13 +411,15 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
         touched.join(users.select(F.col("email").alias("key")), "key", "left_semi"), "initial"
     )
     verdicts = _settle_moves(timeline, initial, span)
-    states = _by_request(state_before(_with_state(timeline, verdicts), initial, span))
+    marked = timeline.join(verdicts, "ordinal", "left").withColumn(
+        "state", _state_set(F.col("succeeds")))
+    states = _by_request(state_before(marked, ("key",), span, initial))
     outcome = request_outcome(
         F.col("op"), F.col("here") != VACANT,
         F.coalesce(F.col("there") != VACANT, F.lit(False)), has_fields(), F.col("rejected"),
     )
     judged = _stage(
-        prepared.join(states.drop("was"), "ordinal").withColumn("outcome", outcome), "judged"
+        prepared.join(states, "ordinal").withColumn("outcome", outcome), "judged"
     )
 
     # Every successful request belongs to one user: an original or an inserted one.
