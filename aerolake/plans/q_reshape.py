@@ -108,15 +108,20 @@ def fan_out(spark, sf):
 
 
 @query("bronze_scan", f"""
-WITH {b.READINGS_SQL}
-SELECT event_id AS id, place AS root FROM readings
-WHERE event_id > (SELECT max(event_id) // 2 FROM events)""")
+WITH {b.READINGS_SQL}, half AS (SELECT max(event_id) // 2 AS h FROM events)
+SELECT 'all' AS scan, event_id AS id, place AS root FROM readings
+UNION ALL
+SELECT 'new', event_id, place FROM readings, half WHERE event_id > h""")
 def bronze_scan(spark, sf):
+    """Everything, and what came after the first half."""
     folder = shared_folder(spark, "bronze")
     b.weather_bronze(b.readings(spark, sf)).write.parquet(folder)
     half = spark.read.parquet(folder).agg(F.max("id")).head()[0] // 2
-    new = landed.bronze_scan(spark, folder, after_id=half)
-    return new.select("id", documents.root_key(F.col("data")).alias("root"))
+    root = documents.root_key(F.col("data")).alias("root")
+    scans = {"all": landed.bronze_scan(spark, folder),
+             "new": landed.bronze_scan(spark, folder, after_id=half)}
+    parts = [rows.select(F.lit(name).alias("scan"), "id", root) for name, rows in scans.items()]
+    return parts[0].unionByName(parts[1])
 
 
 @query("user_scan", f"WITH {b.USERS_SQL} SELECT * FROM users")

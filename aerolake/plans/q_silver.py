@@ -248,14 +248,14 @@ def bulk_insert_users(spark, sf):
 
 @query("seed_guard", f"""
 WITH {b.USERS_SQL}
-SELECT id, email, 'seeded,kept,replaced' AS steps FROM users WHERE role = 'admin'""")
+SELECT id, email, upper(name) AS name, 'seeded,kept,replaced' AS steps FROM users""")
 def seed_guard(spark, sf):
     name = f"{_fresh_catalog(spark)}dev.users"
-    everyone = b.users(spark, sf)
-    admins = everyone.filter("role = 'admin'")
+    first = b.users(spark, sf)
+    second = first.withColumn("name", F.upper("name"))
     steps = [
-        tables.seed_guard(spark, name, everyone),
-        tables.seed_guard(spark, name, admins),
-        tables.seed_guard(spark, name, admins, clear_existing=True),
+        tables.seed_guard(spark, name, first),
+        tables.seed_guard(spark, name, second),
+        tables.seed_guard(spark, name, second, clear_existing=True),
     ]
-    return spark.table(name).select("id", "email", F.lit(",".join(steps)).alias("steps"))
+    return spark.table(name).select("id", "email", "name", F.lit(",".join(steps)).alias("steps"))
