@@ -12,7 +12,6 @@ from aerolake.plans import bindings as b
 from aerolake.plans import tables
 from aerolake.plans.registry import query
 from aerolake.session import shared_folder
-from aerolake.sources import landed
 from aerolake.streaming import silver as incremental
 
 _KEYS = ", ".join(b.MEASURE_KEYS)
