@@ -301,8 +301,9 @@ def _move_slots(timeline: DataFrame, initial: DataFrame, span: int) -> DataFrame
     delete there. After an insert an address is taken and after a delete it is
     free, whatever came before, so moves only matter to each other within a slot
     (``key, since``) and the slot's first state (``start``) is known."""
+    moving = timeline.filter("moves").select("key").distinct()
     decides = F.col("moves") | F.col("op").isin("insert", "delete")
-    rows = timeline.filter(decides & ~F.col("rejected"))
+    rows = timeline.filter(decides).join(moving, "key", "left_semi")
     taken = F.when(F.col("op") == "insert", F.col("ordinal") * 2 + 1).when(
         F.col("op") == "delete", F.col("ordinal") * 2)
     stated = state_before(rows.withColumn("state", taken), ("key",), span, initial)
@@ -324,7 +325,10 @@ def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFra
     chain of moves that overturn each other. Once few moves flip, only those that
     share a slot with a flipped one are looked at again.
     """
-    slots = _stage(_move_slots(timeline, initial, span), "move-slots")
+    real = timeline.filter(~F.col("rejected"))
+    if real.filter("moves").isEmpty():
+        return real.limit(0).select("ordinal", F.lit(True).alias("succeeds"))
+    slots = _stage(_move_slots(real, initial, span), "move-slots")
     verdicts = slots.filter(F.col("side") == "from").select(
         "ordinal", F.lit(True).alias("succeeds"))
     slot = ["key", "since"]

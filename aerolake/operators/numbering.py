@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from aerolake.session import shared_folder
 
@@ -19,19 +20,24 @@ def surrogate_id(df: DataFrame, order_by: tuple[str, ...] = (), start: int = 0,
     counts rows per task and the pass that numbers them, also when an executor
     is lost in between. Only the per-task counts (one row per task) meet in one
     task; they are broadcast back and added, so the rows need no window and no
-    second shuffle. Ordering is a range partitioning; the position before it
-    breaks ties, so equal keys or equal rows spread over many partitions.
+    second shuffle.
+
+    Ordering is a range partitioning. Ties are broken by the row's content and
+    then by the task it came from, so equal keys and even equal rows spread over
+    many partitions. Both stay the same when a task is rerun; a row counter there
+    would not, once the rows come from another shuffle in another order.
     """
     spark = df.sparkSession
     placed = df
     if order_by:
-        # Spread by range of (keys, arrival): equal keys may span partitions.
-        keys = [*order_by, "_arrival"]
+        content = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+        keys = [*order_by, "_content", "_from"]
         placed = (
-            df.withColumn("_arrival", F.monotonically_increasing_id())
+            df.withColumn("_content", F.xxhash64(*content))
+            .withColumn("_from", F.spark_partition_id())
             .repartitionByRange(*keys)
             .sortWithinPartitions(*keys)
-            .drop("_arrival")
+            .drop("_content", "_from")
         )
     folder = shared_folder(spark, "numbered")
     placed.withColumn("_slot", F.monotonically_increasing_id()).write.parquet(folder)
