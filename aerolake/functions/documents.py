@@ -43,10 +43,18 @@ def root_key(data: Column) -> Column:
     return F.array_min(ranked)["root"]
 
 
+def element_by_element(data: Column, root: Column, name: str, element: str) -> Column:
+    """An array below the root entry, each element parsed by itself. One that is
+    no object becomes NULL here; in the typed parse the whole array would."""
+    texts = F.try_element_at(F.from_json(data, f"map<string,struct<{name}:array<string>>>"), root)
+    return F.transform(texts[name], lambda text: F.from_json(text, element))
+
+
 def open_documents(bronze: DataFrame, body: str, keep: tuple[str, ...] = (),
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = False, arrays: dict[str, str] | None = None) -> DataFrame:
     """One row per document: ``root``, ``body`` and ``unreadable``; the last one
-    stops the query when ``strict``.
+    stops the query when ``strict``. ``arrays`` names the body's arrays and their
+    element types; one that the typed parse left NULL is read by element.
 
     The entry is produced by a generator on purpose. A filter on anything that
     was read from the document then stays above the parse; below it, Catalyst
@@ -60,9 +68,13 @@ def open_documents(bronze: DataFrame, body: str, keep: tuple[str, ...] = (),
     found = parsed.select(
         *keep, "data", unreadable.alias("unreadable"), root_entry(F.col("_doc")).alias("_entry")
     )
+    root, content = F.col("_entry.root"), F.col("_entry.body")
+    for name, element in (arrays or {}).items():
+        spare = element_by_element(F.col("data"), root, name, element)
+        content = content.withField(name, F.coalesce(F.col("_entry.body")[name], spare))
     row = F.struct(
-        F.when(~F.col("unreadable"), F.col("_entry.root")).alias("root"),
-        F.when(~F.col("unreadable"), F.col("_entry.body")).alias("body"),
+        F.when(~F.col("unreadable"), root).alias("root"),
+        F.when(~F.col("unreadable"), content).alias("body"),
         F.col("unreadable"),
     )
     return found.select(*keep, "data", F.inline(F.array(row)))

@@ -15,12 +15,17 @@ class Leaf(NamedTuple):
 
 # --- document shapes: every leaf is read as text and converted afterwards ----
 
+AIR_ARRAYS = {
+    "indexes": "struct<code:string,displayName:string,aqi:string,aqiDisplay:string,"
+    "color:struct<red:string,green:string,blue:string>,category:string,dominantPollutant:string>",
+    "pollutants": "struct<code:string,displayName:string,fullName:string,"
+    "concentration:struct<value:string,units:string>>",
+}
+
 AIR_BODY = (
     "struct<datetime:string,"
-    "indexes:array<struct<code:string,displayName:string,aqi:string,aqiDisplay:string,"
-    "color:struct<red:string,green:string,blue:string>,category:string,dominantPollutant:string>>,"
-    "pollutants:array<struct<code:string,displayName:string,fullName:string,"
-    "concentration:struct<value:string,units:string>>>>"
+    + ",".join(f"{name}:array<{element}>" for name, element in AIR_ARRAYS.items())
+    + ">"
 )
 
 WEATHER_BODY = (

@@ -110,7 +110,8 @@ class RequestFile(InputPartition):
 
 def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
     """A data source class reading API responses, one task per landed request
-    file. Options: ``requests`` (the folder) and ``columns`` (schema JSON)."""
+    file. Options: ``requests`` (the folder as a full URI) and ``columns``
+    (schema JSON)."""
 
     class ApiReader(DataSourceReader):
         def __init__(self, schema, options):
@@ -118,9 +119,11 @@ def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
             self.folder = options["requests"]
 
         def partitions(self):
-            import pyarrow.dataset as ds
+            import pyarrow.fs as pafs
 
-            files = ds.dataset(self.folder, format="parquet").files
+            filesystem, base = pafs.FileSystem.from_uri(self.folder)
+            found = filesystem.get_file_info(pafs.FileSelector(base))
+            files = [f.path for f in found if f.path.endswith(".parquet")]
             return [RequestFile(f) for f in files] or [RequestFile("")]
 
         def read(self, partition):
@@ -129,9 +132,7 @@ def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
             import pyarrow.fs as pafs
             import pyarrow.parquet as pq
 
-            filesystem = pafs.LocalFileSystem()
-            if "://" in self.folder:
-                filesystem, _ = pafs.FileSystem.from_uri(self.folder)
+            filesystem, _ = pafs.FileSystem.from_uri(self.folder)
             with filesystem.open_input_file(partition.file) as source:
                 for batch in pq.ParquetFile(source).iter_batches():
                     rows = batch.to_pylist()
@@ -152,17 +153,26 @@ def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
     return ApiSource
 
 
+def _full_uri(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark resolves it: a bare path means the default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = system.makeQualified(path).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") else uri
+
+
 def read_api(spark: SparkSession, name: str, requests: DataFrame, fetcher: Fetcher,
              calls_per_task: int = 500) -> DataFrame:
     """Land request rows in the shared folder and read their responses. A landed
-    file holds the calls of one task."""
+    file holds the calls of one task. (Workers open these files with pyarrow; on
+    a file system it does not know, use ``fan_out``.)"""
     calls = call_columns(requests)
     folder = shared_folder(spark, f"requests-{name}")
     calls.write.option("maxRecordsPerFile", calls_per_task).parquet(folder)
     spark.dataSource.register(api_source(name, _portable(fetcher)))
     return (
         spark.read.format(name)
-        .option("requests", folder)
+        .option("requests", _full_uri(spark, folder))
         .option("columns", _response_schema(calls).json())
         .load()
     )

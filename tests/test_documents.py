@@ -89,6 +89,14 @@ def test_no_index_blocks(spark, indexes):
     assert all(row[leaf.column] is None for leaf in model.UNIVERSAL_INDEX + model.BR_INDEX)
 
 
+def test_elements_that_are_no_objects(spark):
+    document = air()
+    row = checked(spark, {"P": air(indexes=[5, document["indexes"][1]],
+                                   pollutants=[[1], *document["pollutants"][1:]])})
+    assert (row.aqi_universal, row.aqi_br, row.co_code, row.so2_code) == (None, 20, None, "so2")
+    assert row.problems == ""
+
+
 def test_datetime_absent_and_null(spark):
     assert checked(spark, {"P": air(datetime={})}).problems == "data_medicao"
     row = checked(spark, {"P": air(datetime=None)})
@@ -166,7 +174,7 @@ def test_one_parse_no_shuffle(spark, folder):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
         # the typed parse and the value-wise one behind it, each written once
-        assert plan.count("from_json(MapType(StringType,StructType") == 1
+        assert plan.count("from_json(MapType(StringType,StructType(StructField(datetime") == 1
     narrow = silver.silver_air_quality(bronze, ("id",)).select("aqi_br")
     scan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<data:string>" in scan
