@@ -1,4 +1,4 @@
 """The queries of this subpackage; importing the operators registers them."""
 
-from aerolake.llm import boilerplate, mixing, packing, pseudonyms, quality, tiles, url_lists  # noqa: F401
+from aerolake.llm import boilerplate, mixing, near_duplicates, packing, pseudonyms, quality, tiles, url_lists  # noqa: F401
 from aerolake.llm.common import ORACLES, QUERIES  # noqa: F401
