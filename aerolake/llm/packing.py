@@ -9,7 +9,9 @@ which need no padding, so nothing is padded at all.
 
 from __future__ import annotations
 
+import itertools
 import math
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,20 +31,30 @@ DIMENSIONS, KEY_BITS = 4, 15
 BUCKETS = 1 << 14  # hashed word vector
 SPREAD = 6.0  # stretches the mean projection before it is cut into cells
 TOKENS_A_TASK = 4_000_000
-MOST_WORDS = 300_000  # words that a worker remembers; more, and it starts afresh
-WORD_ROOM = 32  # longer words are not remembered
+MOST_WORDS = 400_000  # words that a worker remembers
 
 _open: dict[str, "WordTokens"] = {}
+_JOINED = 200  # words that one call of the tokenizer gets
+
+
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        return number
 
 
 class WordTokens:
     """Token ids and projected vectors of words, remembered.
 
     The tokenizer never joins across white space, so a text's ids are its words' ids in
-    a row; texts that spell a special token are left to the tokenizer as a whole.
+    a row; texts that spell a special token are left to the tokenizer as a whole. When
+    too many words are remembered, those seen least go.
     """
 
     def __init__(self, name: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         if "/" not in name:
@@ -52,54 +64,74 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(name)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.axes = np.random.default_rng(17).standard_normal((BUCKETS, DIMENSIONS))
-        self.forget()
-
-    def forget(self) -> None:
-        self.at: dict[bytes, int] = {}
+        upper, lower = self.whole(["Aa BCD", "aa bcd"])
+        self.folds = upper.tolist() == lower.tolist()
+        self.at = _Numbers()
         self.ids = np.zeros(0, np.uint32)
-        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.starts = self.sizes = self.seen = np.zeros(0, np.int64)
         self.places = np.zeros((0, DIMENSIONS))
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def learn(self, words: list[bytes]) -> None:
-        found = self.whole([w.decode() for w in words])
-        sizes = np.array([len(f) for f in found], np.int64)
+        """Tokens and places of words that were numbered last."""
+        texts = [w.decode() for w in words]
+        ids, sizes = [self.ids], np.zeros(len(words), np.int64)
+        for at in range(0, len(texts), _JOINED):
+            part = texts[at:at + _JOINED]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids.append(np.array(found.ids, np.uint32))
+            begins = np.cumsum([0] + [len(t) + 1 for t in part[:-1]])
+            owner = np.searchsorted(begins, [a for a, _ in found.offsets], side="right") - 1
+            sizes[at:at + len(part)] = np.bincount(owner, minlength=len(part))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate(ids)
         buckets = [xxhash.xxh32_intdigest(w) % BUCKETS for w in words]
         self.places = np.concatenate([self.places, self.axes[buckets]])
-        self.at.update(zip(words, range(len(self.at), len(self.at) + len(words))))
+        self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int64)])
+
+    def trim(self) -> None:
+        keep = np.sort(np.argsort(-self.seen, kind="stable")[:MOST_WORDS // 2])
+        keep = keep[self.seen[keep] > 1]
+        words = list(self.at)
+        self.at = _Numbers(zip([words[i] for i in keep.tolist()], range(len(keep))))
+        self.ids = self.ids[_runs(self.starts[keep], self.sizes[keep])]
+        self.sizes = self.sizes[keep]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.places, self.seen = self.places[keep], self.seen[keep] // 2
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Token ids and Hilbert keys of the texts."""
         if len(self.at) > MOST_WORDS:
-            self.forget()
-        split = [t.encode().split() for t in texts]
-        plain = [not any(s in t for s in self.special) for t in texts]
-        fresh = list({w for words in split for w in words} - self.at.keys())
-        if fresh:
-            self.learn(fresh)
-        at = self.at.__getitem__
-        out, middle = [], np.zeros((len(texts), DIMENSIONS))
-        for i, words in enumerate(split):
-            if not words:
-                out.append(np.zeros(0, np.uint32))
-                continue
-            rows = np.fromiter(map(at, words), np.int64, len(words))
-            middle[i] = self.places[rows].mean(0)
-            if not plain[i]:
-                out.append(self.whole([texts[i]])[0])
-                continue
-            sizes = self.sizes[rows]
-            shift = self.starts[rows] - (np.cumsum(sizes) - sizes)
-            out.append(self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())])
+            self.trim()
+        known, rows = len(self.at), []
+        for text in texts:
+            data = text.encode()
+            words = (data.lower() if self.folds else data).split()
+            rows.append(np.fromiter(map(self.at.__getitem__, words), np.int64, len(words)))
+        if len(self.at) > known:
+            self.learn(list(itertools.islice(self.at, known, None)))
+        lengths = np.array([len(r) for r in rows], np.int64)
+        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+        self.seen += np.bincount(flat, minlength=len(self.seen))
+        ids = self.ids[_runs(self.starts[flat], self.sizes[flat])]
+        upto = np.append(0, np.cumsum(self.sizes[flat]))[np.append(0, np.cumsum(lengths))]
+        out = [ids[a:b] for a, b in zip(upto, upto[1:])]
+        middle = np.array([self.places[r].mean(0) if len(r) else np.zeros(DIMENSIONS) for r in rows]).reshape(-1, DIMENSIONS)
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[i] = self.whole([text])[0]
         cells = np.minimum((1 / (1 + np.exp(-SPREAD * middle)) * (1 << KEY_BITS)).astype(np.int64), (1 << KEY_BITS) - 1)
         return out, hilbert_keys(cells, KEY_BITS)
 
 
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of all runs in a row."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 def _tokens(name: str) -> WordTokens:
     if name not in _open:
         _open[name] = WordTokens(name)

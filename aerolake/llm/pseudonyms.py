@@ -140,12 +140,16 @@ def _date(value: str, key: bytes, back: bool) -> str | None:
     if x is None:
         return None
     # Month first is read only where day first fails, and must stay so; a form without
-    # leading zeros keeps to days that show it.
-    ok = (lambda n: at(n).day > 12) if order == "mdy" else None
-    if pad == 1:
-        first = ok or (lambda n: True)
-        ok = lambda n: first(n) and min(at(n).day, at(n).month) < 10
-    out = at(permute(x, DAYS, key, b"date:" + order.encode() + sep.encode() + b"%d" % pad, ok, back))
+    # leading zeros keeps its numbers of digits.
+    digits = (len(str(at(x).day)), len(str(at(x).month))) if pad == 1 else None
+
+    def ok(n: int) -> bool:
+        found = at(n)
+        return (order != "mdy" or found.day > 12) and (
+            digits is None or digits == (len(str(found.day)), len(str(found.month))))
+
+    form = f"date:{order}{sep}{digits}".encode()
+    out = at(permute(x, DAYS, key, form, ok, back))
     fields = {"y": f"{out.year:04d}", "m": f"{out.month:0{pad}d}", "d": f"{out.day:0{pad}d}"}
     return sep.join(fields[c] for c in order)
 

@@ -137,7 +137,7 @@ def removed_spans(docs: DataFrame, least: int = LEAST, bucket_bytes: int = BUCKE
     def send(group: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         names = [f.split()[0] for f in _SENT.split(", ")]
         if not len(group) or not len(marks):
-            return pd.DataFrame({c: [] for c in names})
+            return pd.DataFrame({c: [] for c in names}, dtype=object)
         _, texts, ids = _bucket_texts(group)
         plan = _Plan(texts, ids, dict(zip(marks["part"], marks["marks"])), parts, least)
         bucket = int(group["bucket"].iloc[0])

@@ -130,7 +130,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, query_block: int
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({c.split()[0]: [] for c in _LISTS.split(", ")})
+            return pd.DataFrame({c.split()[0]: [] for c in _LISTS.split(", ")}, dtype=object)
         found = nearest_in_tile(left["vec_id"].to_numpy(), np.stack(left["embedding"]),
                                 right["near_id"].to_numpy(), np.stack(right["near"]), k)
         return pd.DataFrame({
