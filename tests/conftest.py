@@ -18,6 +18,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-shared-"),
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-warehouse-"),
         },
     )
