@@ -12,7 +12,7 @@ import numpy as np
 
 from aerolake.llm.darts import mix
 
-LEAST, GRAM = 50, 16
+LEAST, GRAM = 50, 24
 MOST_STARTS = 256  # string starts in a segment; longer runs (periodic text) are cut
 
 

@@ -8,9 +8,9 @@
    with the smallest document id that has it, to the part the representative belongs to.
    Representatives of very many documents send their 50-byte strings one by one to the
    part of the string's own hash, so no part holds all neighbours of a common passage.
-4. Each part builds a run-length compressed Burrows-Wheeler index of its segments and
-   streams them through it; for every string start the index tells the smallest document
-   that holds the string.
+4. Each part builds a run-length compressed Burrows-Wheeler index of the segments that
+   can be the earlier ones and streams those that can be the later ones through it; for
+   every string start the index tells the smallest document that holds the string.
 5. The answers, a bit per string start, go back to the buckets, which cut the texts.
 
 Buckets are co-located: texts are shuffled once, into the stored buckets. A bucket, a
@@ -156,10 +156,26 @@ def removed_spans(docs: DataFrame, least: int = LEAST, bucket_bytes: int = BUCKE
         owner = np.full(len(seen), NEVER, np.int64)
         for at, first in zip(which, firsts):
             np.minimum.at(owner, at, first)
-        data = np.frombuffer(b"".join(seen), np.uint8)
-        sizes = np.array([len(s) for s in seen], np.int64)
+        content = list(seen)
         del seen
-        found = RunIndex(data, sizes, owner, least).first_owners(data, sizes)
+        sizes = np.array([len(c) for c in content], np.int64)
+        found = np.repeat(owner, sizes)
+        # Of the variants of one representative, that of the smallest owner has nothing
+        # earlier to find, and that of the largest nothing to give; variants of a single
+        # string each differ.
+        kin = np.unique(segments(content, least)[3], return_inverse=True)[1].ravel()
+        low, high, longest = np.full((3, len(content)), NEVER)
+        high[:], longest[:] = -NEVER, 0
+        np.minimum.at(low, kin, owner)
+        np.maximum.at(high, kin, owner)
+        np.maximum.at(longest, kin, sizes)
+        open_ = longest[kin] > least
+        given, asked = np.flatnonzero(open_ & (owner < high[kin])), np.flatnonzero(open_ & (owner > low[kin]))
+        if len(given) and len(asked):
+            joined = lambda own: np.frombuffer(b"".join([content[i] for i in own.tolist()]), np.uint8)
+            index = RunIndex(joined(given), sizes[given], owner[given], least)
+            places = np.repeat(np.cumsum(sizes)[asked] - np.cumsum(sizes[asked]), sizes[asked]) + np.arange(sizes[asked].sum())
+            found[places] = np.minimum(found[places], index.first_owners(joined(asked), sizes[asked]))
         begins = np.cumsum(sizes) - sizes
         out = []
         for at, first in zip(which, firsts):

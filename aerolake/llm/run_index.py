@@ -34,6 +34,7 @@ class RunIndex:
         ends = np.append(starts[1:], n) - 1
         self.text = np.concatenate([text, np.zeros(least, np.int16)])
         self.starts, self.ends, self.heads = starts, ends, last[starts].astype(np.int64)
+        self.run_of = np.repeat(np.arange(len(starts), dtype=np.int32), ends - starts + 1)  # saves searches
         self.place_first, self.place_last = rows[starts], rows[ends]
         # Where the first row of each run is mapped: by byte, then by order of rows.
         by = np.argsort(self.heads, kind="stable")
@@ -126,7 +127,7 @@ class RunIndex:
             row, place, match = row[:lanes], place[:lanes], match[:lanes]
             i = at[:lanes] - step
             byte = data[i].astype(np.int64) + 1
-            run = np.searchsorted(self.starts, row, side="right") - 1
+            run = self.run_of[row]
             off = np.flatnonzero(self.heads[run] != byte)
             lost = off[:0]
             if len(off):
