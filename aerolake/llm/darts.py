@@ -17,7 +17,7 @@ import xxhash
 SHINGLE = 5
 COORDINATES, ROWS = 150, 5  # 30 bands of 5: a pair of similarity 0.8 is missed once in 100,000
 BANDS = COORDINATES // ROWS
-MOST_WORDS = 500_000  # words whose hash a worker remembers; more, and it starts afresh
+MOST_WORDS = 200_000  # words whose hash a worker remembers; more, and it starts afresh
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -77,13 +77,17 @@ def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float
     texts = staged(found.join(wanted, (F.col("_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
                    .select("key", "text").dropDuplicates(["key"]), "texts")
 
-    @F.pandas_udf("double")
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([darts.jaccard(darts.shingles(x)[0], darts.shingles(y)[0]) for x, y in zip(a, b)])
+    def compare(batches):
+        for whole in batches:
+            for batch in _slices(whole, "a_text"):
+                found = [darts.jaccard(darts.shingles(x.as_py())[0], darts.shingles(y.as_py())[0])
+                         for x, y in zip(batch.column("a_text"), batch.column("b_text"))]
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
+                                                 names=["a", "b", "similarity"])
 
     text = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"{c}_text"))
-    return staged(near.join(text("a"), "a").join(text("b"), "b")
-                  .select("a", "b", similarity("a_text", "b_text").alias("similarity"))
+    both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "a_text", "b_text")
+    return staged(both.mapInArrow(compare, "a binary, b binary, similarity double")
                   .filter(F.col("similarity") >= threshold), "links")
 
 

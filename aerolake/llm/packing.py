@@ -139,7 +139,7 @@ def _tokens(name: str) -> WordTokens:
 
 
 # Rows of a batch that are encoded together; bounds what a worker holds.
-_AT_ONCE_BYTES = 4_000_000
+_AT_ONCE_BYTES = 2_000_000
 
 
 def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
