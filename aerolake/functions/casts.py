@@ -9,9 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A date needs its day: a year or a month alone is no timestamp.
+FULL_DATE = r"^\s*[+-]?[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}([^0-9-]|$)"
+
+
 def try_timestamp_ntz(text: Column) -> Column:
     """Wall-clock timestamp; a zone suffix is dropped, not applied."""
-    return text.try_cast("timestamp_ntz")
+    return F.when(text.rlike(FULL_DATE), text).try_cast("timestamp_ntz")
 
 
 def try_int(text: Column) -> Column:

@@ -6,6 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# JSON knows double quotes only.
+STRICT = {"allowSingleQuotes": "false"}
+
+
+def whole_json(text: Column, shape: str) -> Column:
+    """The text parsed as ``shape``; NULL unless it is one JSON value and nothing else.
+
+    The parser stops after the first value. Inside a list with an object behind it,
+    anything that follows the value breaks the list or changes its length. (The
+    filter reads the parsed list once; a condition would parse once more.)
+    """
+    both = F.from_json(F.concat(F.lit("["), text, F.lit(",{}]")), f"array<{shape}>", STRICT)
+    return F.get(F.get(F.filter(F.array(both), lambda b: F.size(b) == 2), F.lit(0)), F.lit(0))
+
+
+def json_members(text: Column) -> Column:
+    """The members of a JSON object, in order, as ``key`` and ``json``, the value in JSON text.
+
+    The captured text of a value does not tell ``"0"`` from ``0``; its parsed type does.
+    NULL when the text is no JSON object.
+    """
+    texts = F.map_entries(whole_json(text, "map<string,string>"))
+    types = F.map_entries(whole_json(text, "map<string,variant>"))
+
+    def member(both: Column) -> Column:
+        value, kind = both["0"]["value"], F.schema_of_variant(both["1"]["value"])
+        return F.struct(both["0"]["key"].alias("key"), F.when(value.isNull(), F.lit("null"))
+                        .when(kind == "STRING", json_string(value)).otherwise(value).alias("json"))
+
+    return F.transform(F.arrays_zip(texts, types), member)
+
+
 def parse_document(data: Column, body: str) -> Column:
     """``{place: body}`` as a map. NULL when the text is no JSON object.
 
@@ -13,9 +45,9 @@ def parse_document(data: Column, body: str) -> Column:
     (some value is not an object) are the keys read first and the values one by
     one, so a scalar value costs its own fields and not the whole document.
     """
-    typed = F.from_json(data, f"map<string,{body}>")
+    typed = whole_json(data, f"map<string,{body}>")
     by_value = F.transform_values(
-        F.from_json(data, "map<string,string>"), lambda _, v: F.from_json(v, body)
+        whole_json(data, "map<string,string>"), lambda _, v: F.from_json(v, body, STRICT)
     )
     return F.coalesce(typed, by_value)
 
@@ -36,7 +68,7 @@ def root_entry(entries: Column) -> Column:
 
 
 def root_key(data: Column) -> Column:
-    keys = F.map_keys(F.from_json(data, "map<string,string>"))
+    keys = F.map_keys(whole_json(data, "map<string,string>"))
     ranked = F.transform(
         keys, lambda k: F.struct(F.octet_length(k).alias("width"), k.alias("root"))
     )
@@ -46,8 +78,8 @@ def root_key(data: Column) -> Column:
 def element_by_element(data: Column, root: Column, name: str, element: str) -> Column:
     """An array below the root entry, each element parsed by itself. One that is
     no object becomes NULL here; in the typed parse the whole array would."""
-    texts = F.try_element_at(F.from_json(data, f"map<string,struct<{name}:array<string>>>"), root)
-    return F.transform(texts[name], lambda text: F.from_json(text, element))
+    texts = F.try_element_at(whole_json(data, f"map<string,struct<{name}:array<string>>>"), root)
+    return F.transform(texts[name], lambda text: F.from_json(text, element, STRICT))
 
 
 def open_documents(bronze: DataFrame, body: str, keep: tuple[str, ...] = (),
@@ -93,23 +125,13 @@ def json_string(text: Column) -> Column:
     return F.substr(boxed, F.lit(2), F.char_length(boxed) - 2)
 
 
-def json_nested(text: Column) -> Column:
-    """Text captured from a JSON value, as JSON again: objects and arrays as
-    they are, anything else quoted, NULL as null."""
-    return (
-        F.when(text.isNull(), F.lit("null"))
-        .when(text.startswith("{") | text.startswith("["), text)
-        .otherwise(json_string(text))
-    )
-
-
 # Fixed value: the JSON number grammar.
 JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 
 
 def json_scalar(text: Column) -> Column:
-    """Like ``json_nested`` but numbers stay numbers."""
-    return F.when(text.rlike(JSON_NUMBER), text).otherwise(json_nested(text))
+    """JSON of a plain value in text: numbers stay numbers, NULL is null, all else is quoted."""
+    return F.when(text.isNull(), F.lit("null")).when(text.rlike(JSON_NUMBER), text).otherwise(json_string(text))
 
 
 def json_object(members: dict[str, Column]) -> Column:

@@ -135,8 +135,9 @@ def silver_ddl(leaves: tuple[Leaf, ...]) -> str:
 
 BRONZE_DDL = "id BIGINT, data STRING"
 
+USER_NAME_WIDTH = 100
 USERS_DDL = (
-    "id STRING, name VARCHAR(100), email STRING, password VARCHAR(255), "
+    f"id STRING, name VARCHAR({USER_NAME_WIDTH}), email STRING, password VARCHAR(255), "
     "signatureStatus STRING, phone_number VARCHAR(20), role STRING, notifications STRING, "
     "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ"
 )

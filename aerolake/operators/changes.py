@@ -5,7 +5,10 @@ requests ``ordinal bigint, op string, email string, changes map<string,string>``
 and returns the users afterwards and the requests with an ``outcome``:
 ``ok``, ``not_found``, ``conflict``, ``no_fields`` or ``rejected``. Ordinals are
 distinct, not negative, and give the order in which one-at-a-time requests would
-have run. In ``changes`` an absent key means "leave", a NULL value "set to null".
+have run. In ``changes`` an absent key means "leave", a NULL value "set to null";
+a field may have its stored or its outside name (of both the outside one counts), and
+unknown keys count for nothing. A request that breaks its contract is ``rejected``
+before anything is looked up.
 
 ``insert_if_absent``, ``partial_update`` and ``delete_by_email`` each take a batch
 of one kind; ``apply_changes`` takes any mix.
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.functions.documents import name_based_uuid
+from aerolake.operators.contracts import CONTRACTS
 from aerolake.operators.skew import hot_keys, lookup_join
 from aerolake.session import shared_folder
 
@@ -50,10 +54,51 @@ def breaks_not_null() -> Column:
     """An update that would store no value where the table needs one."""
     broken = F.lit(False)
     for field in _NOT_NULL:
-        broken = broken | (_sets(field) & (F.coalesce(_value(field), F.lit("")) == ""))
+        broken = broken | (_sets(field) & _value(field).isNull())
     return F.coalesce(broken, F.lit(False))
 
 
+def _renamed(changes: Column, old: str, new: str) -> Column:
+    """The key ``old`` as ``new``, in place of a ``new`` that is there too."""
+    alone = F.map_filter(changes, lambda k, _: k != new)
+    named = F.transform_keys(alone, lambda k, _: F.when(k == old, new).otherwise(k))
+    return F.when(F.map_contains_key(changes, F.lit(old)), named).otherwise(changes)
+
+
+def known_changes(requests: DataFrame) -> DataFrame:
+    """The requests with only the known fields in ``changes``, by their stored names."""
+    outside = {f.alias: f.column for f in CONTRACTS["user_update"] if f.alias}
+    known = F.map_filter("changes", lambda k, _: k.isin(*CHANGEABLE, *outside))
+    for alias, column in outside.items():
+        known = _renamed(known, alias, column)
+    return requests.withColumn("changes", known)
+
+
+def breaks_contract(op: Column) -> Column:
+    """An insert without a needed value, or a value against its field's rules. (A field
+    that may be null may also be left out of an insert.)"""
+    insert, update = F.lit(False), F.char_length(_value("name")) > model.USER_NAME_WIDTH
+    for field in CONTRACTS["user_create"]:
+        if field.column in CHANGEABLE:
+            value = F.col("email") if field.column == "email" else _value(field.column)
+            if not field.nullable:
+                insert = insert | value.isNull()
+            for rule in field.rules:
+                insert = insert | F.coalesce(rule.broken(value), F.lit(False))
+    update = F.coalesce(update, F.lit(False))
+    for field in CONTRACTS["user_update"]:
+        for rule in field.rules:
+            update = update | F.coalesce(rule.broken(_value(field.column)), F.lit(False))
+    return F.coalesce(F.when(op == "insert", insert).when(op == "update", update), F.lit(False))
+
+
+def _split(requests: DataFrame, op: Column) -> tuple[DataFrame, DataFrame]:
+    """(requests that keep their contract, the others as rejected)"""
+    known = known_changes(requests)
+    broken = breaks_contract(op)
+    return known.filter(~broken), known.filter(broken).withColumn("outcome", F.lit("rejected"))
+
+
 def request_outcome(op: Column, found: Column, taken: Column, fields: Column,
                     rejected: Column) -> Column:
     """Outcome from what is known about a request, in the order of the checks."""
@@ -106,11 +151,12 @@ def _mark(requests: DataFrame, winners: DataFrame, otherwise: str) -> DataFrame:
 
 def insert_if_absent(users: DataFrame, requests: DataFrame, now: Column,
                      salt: str = "user") -> tuple[DataFrame, DataFrame]:
-    """Of the inserts for one e-mail the first wins, unless the e-mail exists."""
+    """Of the valid inserts for one e-mail the first wins, unless the e-mail exists."""
+    requests, refused = _split(requests, F.lit("insert"))
     winners = _first_per_email(requests).join(users.select("email"), "email", "left_anti")
     judged = _mark(requests, winners, "conflict")
     added = inserted_rows(judged.filter(F.col("outcome") == "ok"), now, salt)
-    return users.unionByName(added), judged
+    return users.unionByName(added), judged.unionByName(refused)
 
 
 def delete_by_email(users: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -134,6 +180,7 @@ def email_change_conflict(users: DataFrame, requests: DataFrame) -> DataFrame:
 
 def judge_updates(users: DataFrame, requests: DataFrame) -> DataFrame:
     """Outcome of each update request taken on its own against ``users``."""
+    requests, refused = _split(requests, F.lit("update"))
     met = lookup_join(
         email_change_conflict(users, requests),
         users.select("email", F.lit(True).alias("_there")), "email", "left",
@@ -143,7 +190,7 @@ def judge_updates(users: DataFrame, requests: DataFrame) -> DataFrame:
     outcome = request_outcome(
         F.lit("update"), found, F.col("taken"), has_fields(), breaks_not_null()
     )
-    return met.withColumn("outcome", outcome).drop("_there")
+    return met.withColumn("outcome", outcome).drop("_there").unionByName(refused, allowMissingColumns=True)
 
 
 def fold_changes(requests: DataFrame, key: str) -> DataFrame:
@@ -192,6 +239,7 @@ def partial_update(users: DataFrame, requests: DataFrame,
     """Change only the fields that are set; several requests for one e-mail fold
     in ordinal order. A batch with e-mail moves belongs to ``apply_changes`` and
     stops here with an error."""
+    requests, refused = _split(requests, F.lit("update"))
     moving = new_email().isNotNull()
     stays = F.when(
         moving, F.raise_error(F.lit("a change of e-mail needs apply_changes"))
@@ -208,7 +256,7 @@ def partial_update(users: DataFrame, requests: DataFrame,
     # Requests for unknown e-mails fold to rows that meet no user.
     effective = checked.filter(has_fields() & ~breaks_not_null())
     folded = fold_changes(effective, "email")
-    return apply_fold(users.join(folded, "email", "left"), now), judged
+    return apply_fold(users.join(folded, "email", "left"), now), judged.unionByName(refused)
 
 
 # --- mixed batches ------------------------------------------------------------
@@ -405,6 +453,7 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
                   span: int = SPAN) -> tuple[DataFrame, DataFrame]:
     """Any mix of inserts, updates, moves and deletes, with the result of running
     them one at a time in ordinal order."""
+    requests, refused = _split(requests, F.col("op"))
     prepared = requests.withColumn("new_email", F.when(F.col("op") == "update", new_email()))
     prepared = prepared.withColumn("moves", F.col("new_email").isNotNull()).withColumn(
         "rejected", (F.col("op") == "update") & breaks_not_null())
@@ -446,4 +495,4 @@ def apply_changes(users: DataFrame, requests: DataFrame, now: Column, salt: str
         )
     )
     kept = base.join(gone, "owner", "left_anti").join(folded, "owner", "left")
-    return apply_fold(kept, now), judged.select(*requests.columns, "outcome")
+    return apply_fold(kept, now), judged.select(*requests.columns, "outcome").unionByName(refused)

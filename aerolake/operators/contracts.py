@@ -14,10 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake import model
+from aerolake.functions.casts import try_timestamp_ntz
 from aerolake.operators.skew import lookup_join
 
-# Fixed value: accepted e-mail form.
-EMAIL_FORM = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
+# Accepted forms. A local part is made of letters of any script, digits and
+# some marks, with single dots inside; a domain label neither begins nor ends with a hyphen.
+_ATOM = r"[\p{L}\p{N}!#$%&'*+/=?^_`{|}~-]+"
+_LABEL = r"[\p{L}\p{N}]([\p{L}\p{N}-]*[\p{L}\p{N}])?"
+EMAIL_FORM = rf"^(?=.{{1,64}}@){_ATOM}(\.{_ATOM})*@({_LABEL}\.)+[\p{{L}}]{{2,63}}$"
+NUMBER_FORM = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 _PARSED = {"int": "bigint", "float": "double", "decimal": "decimal(38,18)",
            "datetime": "timestamp_ntz", "text": "string"}
@@ -75,7 +80,16 @@ def check_email() -> Rule:
 
 def check_type(value: Column, kind: str) -> Column:
     """Violated: there is a value and it does not parse."""
-    return value.isNotNull() & value.cast("string").try_cast(_PARSED[kind]).isNull()
+    return value.isNotNull() & _parsed(value.cast("string"), kind).isNull()
+
+
+def _parsed(text: Column, kind: str) -> Column:
+    """The text as a value of ``kind``, NULL where it is none."""
+    if kind == "datetime":
+        return try_timestamp_ntz(text)
+    if kind in ("float", "decimal", "int"):  # a cast alone also takes suffixes as in 1.5d
+        text = F.when(text.rlike(NUMBER_FORM), text)
+    return text.try_cast(_PARSED[kind])
 
 
 def check_required(value: Column) -> Column:
@@ -101,6 +115,7 @@ _UPDATED = Field("updated_at", "datetime", alias="updatedAt")
 _PHONE = check_length(11, 20)
 _PASSWORD = check_length(8, 255)
 
+# Fields, outside names, limits and enumerations.
 CONTRACTS: dict[str, tuple[Field, ...]] = {
     "place": (
         Field("id", "int", (_POSITIVE,)),
@@ -218,20 +233,26 @@ def contract_rename(df: DataFrame, contract: str, outward: bool = True) -> DataF
     return df.withColumnsRenamed({k: v for k, v in pairs.items() if k in df.columns})
 
 
+def _present(df: DataFrame, field: Field) -> str | None:
+    """The name under which the field is there: its outside name, else its own."""
+    return next((n for n in (field.alias, field.column) if n and n in df.columns), None)
+
+
 def _field_checks(df: DataFrame, field: Field) -> list[Column]:
     def report(rule: str) -> Column:
         return F.struct(F.lit(field.column).alias("column"), F.lit(rule).alias("rule"))
 
-    if field.column not in df.columns:
+    name = _present(df, field)
+    if name is None:
         return [] if field.optional else [report("required")]
-    raw = F.col(f"`{field.column}`")
+    raw = F.col(f"`{name}`")
     checks = []
     if not field.nullable:
         checks.append(F.when(check_required(raw), report("required")))
-    stored = dict(df.dtypes)[field.column]
+    stored = dict(df.dtypes)[name]
     value = raw
     if field.kind != "text":
-        value = raw.try_cast(_PARSED[field.kind])
+        value = _parsed(raw, field.kind) if stored == "string" else raw.try_cast(_PARSED[field.kind])
         if stored == "string":
             checks.append(F.when(check_type(raw, field.kind), report("type")))
         elif field.kind == "int" and stored not in ("tinyint", "smallint", "int", "bigint"):

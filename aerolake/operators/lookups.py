@@ -39,18 +39,20 @@ def check_page(skip: int, limit: int) -> None:
 
 
 def page_rows(df: DataFrame, key: str, skip: int = 0, limit: int = 100) -> DataFrame:
-    """Rows ``skip .. skip+limit`` in key order; the key is unique.
+    """Rows ``skip .. skip+limit`` in order of key, then of the other columns.
 
-    A page near the front is a top-k. A deep page would make that top-k as large
-    as the table, so its keys are numbered in parallel instead and the page is a
+    Null keys come first and rows alike in all columns are still rows of their own, at
+    any depth. A page near the front is a top-k. A deep page would make that top-k as
+    large as the table, so the rows are numbered in parallel instead and the page is a
     filter on the number.
     """
     check_page(skip, limit)
+    order = (key, *[c for c in df.columns if c != key])
     if skip + limit <= SHALLOW_ROWS:
-        return df.orderBy(key).offset(skip).limit(limit)
-    numbered = surrogate_id(df.select(key), (key,), id_column="_position")
+        return df.orderBy(*order).offset(skip).limit(limit)
+    numbered = surrogate_id(df, order, id_column="_position")
     wanted = numbered.filter(F.col("_position").between(skip + 1, skip + limit))
-    return df.join(wanted, key).orderBy("_position").drop("_position").select(df.columns)
+    return wanted.orderBy("_position").select(*df.columns)
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:

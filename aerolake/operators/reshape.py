@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.functions.documents import (
-    epoch_to_local_text, json_nested, json_object, json_scalar, json_string, wrap_document,
+    epoch_to_local_text, json_members, json_object, json_scalar, json_string, whole_json, wrap_document,
 )
 from aerolake.sources.places import plain_number
 
@@ -16,6 +16,7 @@ def error_class(status: Column) -> Column:
     """Class of a failed response; NULL for a good one."""
     return (
         F.when(status < 400, F.lit(None).cast("string"))
+        .when(status.isNull(), "unexpected")  # no answer at all
         .when(status == 404, "not_found")
         .when(status == 400, "bad_request")
         .otherwise("unexpected")
@@ -49,16 +50,15 @@ def _last_member(members: Column, key: str) -> Column:
 
 
 def _member_or_empty(members: Column, key: str) -> Column:
-    """JSON text of a member; ``{}`` only when the key is absent."""
-    return F.when(
-        F.array_contains(F.map_keys(members), key), json_nested(_last_member(members, key))
-    ).otherwise(F.lit("{}"))
+    """JSON text of the last member of that name; ``{}`` only when the key is absent."""
+    hits = F.filter(members, lambda m: m["key"] == key)
+    return F.coalesce(F.get(hits, F.size(hits) - 1)["json"], F.lit("{}"))
 
 
 def air_quality_reshape(responses: DataFrame, body: str = "body") -> DataFrame:
     """Keep three members of the body, as one document in JSON text (``doc``)."""
     others = [c for c in responses.columns if c not in (body, "status")]
-    parsed = responses.select(*others, F.from_json(body, "map<string,string>").alias("_members"))
+    parsed = responses.select(*others, json_members(F.col(body)).alias("_members"))
     members = F.coalesce(
         F.col("_members"), F.raise_error(F.lit("air-quality body is no JSON object"))
     )
@@ -90,7 +90,7 @@ def weather_flatten(responses: DataFrame, body: str = "body", mode: str = "stric
     """
     others = [c for c in responses.columns if c not in (body, "status")]
     parsed = responses.select(
-        *others, body, F.from_json(body, model.WEATHER_RESPONSE).alias("_r")
+        *others, body, whole_json(F.col(body), model.WEATHER_RESPONSE).alias("_r")
     )
     blocks = {
         "main": F.col("_r.main"),
@@ -126,7 +126,8 @@ def weather_document(flat: DataFrame) -> DataFrame:
     """Flat weather rows as documents in JSON text (``doc``)."""
     fields = [name for _, _, name in model.WEATHER_FIELDS]
     data = json_object({
-        f: json_nested(F.col(f)) if f == "descricao" else json_scalar(F.col(f)) for f in fields
+        f: F.coalesce(json_string(F.col(f)), F.lit("null")) if f == "descricao" else json_scalar(F.col(f))
+        for f in fields
     })
     document = json_object({
         "latitude": F.coalesce(plain_number(F.col("latitude")), F.lit("null")),
@@ -140,23 +141,20 @@ def weather_document(flat: DataFrame) -> DataFrame:
 def latest_per_place(rows: DataFrame, place: str, ordinal: str) -> DataFrame:
     """One row per place, the last by ordinal (unique within the batch).
 
-    Each task keeps its own last row per place before anything moves, so a place
-    with a third of all rows is one row per task when it is shuffled.
+    The last ordinals are found on two narrow columns by hash, so a place with a third
+    of all rows is one pair per task when it is shuffled; the rows are then met by
+    place and ordinal, which is unique on both sides, and no task sorts documents to aggregate.
     """
-    others = [c for c in rows.columns if c != place]
-    last = rows.groupBy(place).agg(F.max_by(F.struct(*others), ordinal).alias("_last"))
-    return last.select(place, "_last.*").select(rows.columns)
+    last = rows.groupBy(F.col(place).alias("_place")).agg(F.max(ordinal).alias("_last"))
+    same = F.col(place).eqNullSafe(F.col("_place")) & (F.col(ordinal) == F.col("_last"))
+    return rows.join(last, same, "left_semi")
 
 
 def dict_to_rows(df: DataFrame, column: str = "data") -> DataFrame:
     """``{place: doc, ...}`` text to one ``place, doc`` row per place; ``doc``
     is JSON text."""
-    entries = F.map_entries(F.from_json(F.col(column), "map<string,string>"))
     others = [c for c in df.columns if c != column]
-    rows = df.select(*others, F.inline(entries))
-    return rows.select(
-        *others, F.col("key").alias("place"), json_nested(F.col("value")).alias("doc")
-    )
+    return df.select(*others, F.inline(json_members(F.col(column))).alias("place", "doc"))
 
 
 def wrap_documents(rows: DataFrame, place: str = "nome", document: str = "doc") -> DataFrame:
@@ -167,17 +165,14 @@ def wrap_documents(rows: DataFrame, place: str = "nome", document: str = "doc")
 
 def city_local_time(responses: DataFrame, body: str = "body") -> DataFrame:
     """The body with ``dt`` replaced by local time text; all else passes through."""
-    parsed = responses.withColumn("_m", F.from_json(body, "map<string,string>"))
-    local = epoch_to_local_text(
-        _last_member(F.col("_m"), "dt").cast("bigint"),
-        _last_member(F.col("_m"), "timezone").cast("bigint"),
-    )
-    members = F.transform(
-        F.map_entries("_m"),
-        lambda e: F.concat(
-            json_string(e["key"]), F.lit(":"),
-            F.when(e["key"] == "dt", json_string(local)).otherwise(json_scalar(e["value"])),
-        ),
-    )
+    parsed = responses.withColumn("_m", json_members(F.col(body)))
+
+    def number(key: str) -> Column:
+        hits = F.filter("_m", lambda m: m["key"] == key)
+        return F.get(hits, F.size(hits) - 1)["json"].cast("bigint")
+
+    local = epoch_to_local_text(number("dt"), number("timezone"))
+    members = F.transform("_m", lambda m: F.concat(
+        json_string(m["key"]), F.lit(":"), F.when(m["key"] == "dt", json_string(local)).otherwise(m["json"])))
     text = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
     return parsed.withColumn(body, text).withColumn("dt", local).drop("_m")

@@ -267,7 +267,7 @@ def wrap_document(spark, sf):
         F.concat("source", F.lit(' "'), "lang", F.lit('"')).alias("nome"),
         documents.json_object({
             "text": documents.json_string(F.col("text")),
-            "empty": documents.json_nested(F.lit(None).cast("string")),
+            "empty": documents.json_scalar(F.lit(None).cast("string")),
         }).alias("doc"),
     )
     wrapped = reshape.wrap_documents(docs)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.operators.numbering import surrogate_id
-from aerolake.session import shared_folder
 
 SCHEMAS = ("bronze", "silver", "gold", "dev")
 
@@ -96,12 +98,19 @@ def silver_append(rows: DataFrame, path: str, day_of: str | None = None) -> None
 
 
 def replace_rows(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Give the table new content. The rows go to a new folder first and the
-    table is then pointed there, so a failed write leaves the old content, and
-    the rows may be computed from the table itself."""
-    folder = shared_folder(spark, table.replace(".", "-"))
-    stored = spark.table(table).schema
-    rows.select(*[F.col(f.name).cast(f.dataType) for f in stored]).write.parquet(folder)
+    """Give the table new content. The rows are inserted into a table of the same columns
+    at a new folder below the table's own, so widths are checked; the table is then
+    pointed there. A failed write leaves the old content, and the rows may be computed
+    from the table itself. Older folders stay for readers that still use them."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    home = re.sub(r"/v-[0-9a-f]{32}$", "", described["data_type"].rstrip("/"))
+    version = uuid.uuid4().hex
+    folder, fresh = f"{home}/v-{version}", f"{table}_v_{version}"
+    spark.sql(f"CREATE TABLE {fresh} LIKE {table} USING parquet LOCATION '{folder}'")
+    try:
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(table).schema]).write.insertInto(fresh)
+    finally:
+        spark.sql(f"DROP TABLE {fresh}")
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
 

@@ -51,12 +51,12 @@ def _local_root() -> str:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Every executor must be able to read it, so a machine-local folder is used
-    only by a local session that names none.
+    Every executor must be able to read it, so the session has to name the root. A
+    local session of one process that names none gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = _local_root()
     return f"{root.rstrip('/')}/aerolake/{purpose}-{uuid.uuid4().hex}"

@@ -2,7 +2,8 @@
 
 ``fan_out`` calls for every row of a DataFrame; ``api_source`` is the same as a
 Python data source over landed request rows. Both take a *fetcher*: a function
-``(method, url, params, payload) -> (status, body text)``. Tests inject a stub.
+``(method, url, params, payload) -> (status, body text)``; the status is None when
+there was no answer. Tests inject a stub.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ def http_fetcher(key_variable: str, key_parameter: str, timeout: float = 30.0) -
     environment variable of the executor, so it never enters a DataFrame."""
 
     def fetch(method, url, params, payload):
+        from http.client import HTTPException
         from urllib import error, parse, request
 
         query = {**(params or {}), key_parameter: os.environ[key_variable]}
@@ -52,6 +54,9 @@ def http_fetcher(key_variable: str, key_parameter: str, timeout: float = 30.0) -
                 return answer.status, answer.read().decode("utf-8")
         except error.HTTPError as failure:
             return failure.code, failure.read().decode("utf-8", "replace")
+        except (OSError, ValueError, HTTPException) as failure:
+            # No answer that could be read: a row without a status, not a lost task.
+            return None, f"{type(failure).__name__}: {failure}"
 
     return fetch
 
@@ -66,6 +71,18 @@ def _responses(rows, fetcher: Fetcher):
         yield status, body
 
 
+def _answered(batch, tags: list[str], fetcher: Fetcher):
+    """A batch of requests with their answers."""
+    import pyarrow as pa
+
+    found = list(_responses(batch.select(list(CALL_COLUMNS)).to_pylist(), fetcher))
+    return pa.RecordBatch.from_arrays(
+        [*[batch.column(t) for t in tags], pa.array([s for s, _ in found], pa.int32()),
+         pa.array([b for _, b in found], pa.string())],
+        names=[*tags, "status", "body"],
+    )
+
+
 def _response_schema(calls: DataFrame) -> StructType:
     tags = [f for f in calls.schema.fields if f.name not in CALL_COLUMNS]
     return StructType([*tags, StructField("status", IntegerType()), StructField("body", StringType())])
@@ -86,19 +103,8 @@ def fan_out(requests: DataFrame, fetcher: Fetcher, parallelism: int | None = Non
     tags = [f.name for f in schema.fields[:-2]]
 
     def call_batches(batches) -> Iterator:
-        import pyarrow as pa
-
         for batch in batches:
-            rows = batch.select(list(CALL_COLUMNS)).to_pylist()
-            status, body = [], []
-            for s, b in _responses(rows, fetcher):
-                status.append(s)
-                body.append(b)
-            columns = [batch.column(t) for t in tags]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(status, pa.int32()), pa.array(body, pa.string())],
-                names=[*tags, "status", "body"],
-            )
+            yield _answered(batch, tags, fetcher)
 
     return calls.mapInArrow(call_batches, schema)
 
@@ -135,9 +141,7 @@ def api_source(name: str, fetcher: Fetcher) -> type[DataSource]:
             filesystem, _ = pafs.FileSystem.from_uri(self.folder)
             with filesystem.open_input_file(partition.file) as source:
                 for batch in pq.ParquetFile(source).iter_batches():
-                    rows = batch.to_pylist()
-                    for row, (status, body) in zip(rows, _responses(rows, fetcher)):
-                        yield (*[row[t] for t in self.tags], status, body)
+                    yield _answered(batch, self.tags, fetcher)
 
     class ApiSource(DataSource):
         @classmethod

@@ -173,8 +173,8 @@ def test_one_parse_no_shuffle(spark, folder):
                  *silver.split_checked(silver.silver_air_quality(bronze, ("id",), mode="checked"))):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan
-        # the typed parse and the value-wise one behind it, each written once
-        assert plan.count("from_json(MapType(StringType,StructType(StructField(datetime") == 1
+        # the typed parse, written once
+        assert plan.count("from_json(ArrayType(MapType(StringType,StructType(StructField(datetime") == 1
     narrow = silver.silver_air_quality(bronze, ("id",)).select("aqi_br")
     scan = narrow._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<data:string>" in scan
@@ -194,11 +194,18 @@ def test_epoch_to_local_text_ignores_the_session_zone(spark, dt, want):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@pytest.mark.parametrize("value", [1, 1.5, -3, "text", 'q"\\\n', "", True, None, [1, {"a": "b"}], {"k": None}])
-def test_json_values_survive_wrapping(spark, value):
-    text = json.dumps({"v": value})
-    members = F.from_json("s", "map<string,string>")
-    back = documents.wrap_document(
-        F.lit("P"), documents.json_object({"v": documents.json_scalar(members["v"])}))
+@pytest.mark.parametrize("value", [1, 1.5, 70.0, -3, "text", 'q"\\\n', "", True, False, None, "true", "0", "1.50", "{x", "[chuva] leve",
+                                   "null", [1, {"a": "b"}], {"k": None, "n": "5"}])
+def test_json_values_keep_their_type(spark, value):
+    text = json.dumps({"v": value, "w": 1})
+    members = documents.json_members(F.col("s"))
+    back = documents.wrap_document(F.lit("P"), documents.json_object({"v": members[0]["json"]}))
     got = json.loads(one(spark, back, text))["P"]["v"]
-    assert got == ("true" if value is True else value)
+    assert got == value and type(got) is type(value)
+
+
+@pytest.mark.parametrize("text", ["{'A':{'x':1}}", '{"A":{"x":1}} more', '{"A":{"x":1}},{"B":{}}', '{"A":{"x":1}}]', '{"A":{"x":1}',
+                                  "", "[1]", "5", "null", '{"A":{"x":1}},'])
+def test_what_is_no_json_object_is_refused(spark, text):
+    assert one(spark, documents.json_members(F.col("s")), text) is None
+    assert one(spark, documents.parse_document(F.col("s"), "struct<x:string>"), text) is None

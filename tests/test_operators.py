@@ -221,6 +221,55 @@ def test_deep_pages_equal_shallow_ones(spark, monkeypatch):
     assert [r.v for r in lookups.page_rows(rows, "k", 4990, 200).collect()] == list(range(4990, 5000))
 
 
+@pytest.mark.parametrize("skip, limit", [(0, 3), (2, 4), (5, 100)])
+def test_pages_over_null_and_repeated_keys_are_the_same_at_any_depth(spark, monkeypatch, skip, limit):
+    rows = frame(spark, [("b", 1), (None, 2), ("a", 3), ("a", 3), ("a", 4), ("c", 5), (None, None)], "k string, v long")
+    shallow = lookups.page_rows(rows, "k", skip, limit).collect()
+    monkeypatch.setattr(lookups, "SHALLOW_ROWS", 0)
+    assert lookups.page_rows(rows, "k", skip, limit).collect() == shallow
+    assert len(shallow) == min(limit, 7 - skip)
+
+
+def test_a_call_without_answer_is_a_row(monkeypatch):
+    from urllib import error, request
+
+    from aerolake.sources import api
+
+    monkeypatch.setenv("KEY", "k")
+    for failure in (TimeoutError("late"), error.URLError("refused"), ConnectionResetError("gone"), ValueError("bytes")):
+        def fail(*_, failure=failure, **__):
+            raise failure
+
+        monkeypatch.setattr(request, "urlopen", fail)
+        status, body = api.http_fetcher("KEY", "key")("GET", "http://nowhere.invalid/", {}, "")
+        assert status is None and type(failure).__name__ in body
+
+
+@pytest.mark.parametrize("text, kind, ok", [
+    ("2025", "datetime", False), ("2025-01", "datetime", False), ("2025-01-02", "datetime", True),
+    ("2025-01-02T03:04:05Z", "datetime", True), ("1.5d", "float", False), ("1f", "float", False), ("1d", "int", False),
+    ("1.5", "float", True), (" 7 ", "int", True), ("-1e3", "float", True)])
+def test_types_of_texts(spark, text, kind, ok):
+    row = frame(spark, [(text,)], "v string").select(contracts.check_type(F.col("v"), kind)).head()
+    assert row[0] is not ok
+
+
+@pytest.mark.parametrize("email, ok", [
+    ("a@example.com", True), ("a.b+c@mail.example.com", True), ("joão@example.com", True), ("a..b@example.com", False),
+    (".a@example.com", False), ("a.@example.com", False), ("a@-x.com", False), ("a@x-.com", False), ("a@b", False),
+    ("a b@example.com", False), ("a@@example.com", False)])
+def test_email_forms(spark, email, ok):
+    row = frame(spark, [(email,)], "v string").select(contracts.check_email().broken(F.col("v"))).head()
+    assert row[0] is not ok
+
+
+def test_contract_reads_either_name(spark):
+    field = contracts.Field("phone_number", "text", (contracts.check_length(11, 20),), "phoneNumber")
+    for name in ("phoneNumber", "phone_number"):
+        rows = contracts.check_contract(frame(spark, [("12345678901",), ("1",)], f"{name} string"), (field,)).collect()
+        assert [len(r.violations) for r in rows] == [0, 1]
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
