@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.operators import reshape
+from aerolake.operators.silver import silver_air_quality, silver_weather
 from aerolake.plans import tables
 from aerolake.session import shared_folder
 from aerolake.sources import places as place_source
@@ -34,9 +35,10 @@ def air_quality_documents(responses: DataFrame) -> DataFrame:
 
 def air_quality_etl(spark: SparkSession, places: DataFrame, weather_fetcher: Fetcher,
                     air_fetcher: Fetcher, prefix: str = "", parallelism: int | None = None) -> None:
-    """Places to bronze, weather first. ``places`` carries ``ordinal``: of two
-    places with one name the later counts. A failed air-quality response stops
-    the job before anything is written."""
+    """Places to bronze and silver, weather first. ``places`` carries ``ordinal``: of two
+    places with one name the later counts. A failed air-quality response stops the
+    job before anything is written; a document that silver refuses reaches neither
+    table and is kept, with its problems, beside bronze."""
     numbered = places.select("nome", "latitude", "longitude", "ordinal")
 
     def responses(build, fetcher, purpose):
@@ -46,14 +48,14 @@ def air_quality_etl(spark: SparkSession, places: DataFrame, weather_fetcher: Fet
     air = responses(place_source.air_quality_requests, air_fetcher, "air-responses")
     air = reshape.ok_responses(air, mode="strict")
     ready = [
-        (tables.bronze_rows(spark, documents, prefix + table, ("ordinal",)), prefix + table)
-        for documents, table in (
-            (weather_documents(weather), tables.WEATHER_BRONZE),
-            (air_quality_documents(air), tables.AIR_BRONZE),
+        (tables.bronze_rows(spark, documents, prefix + bronze, ("ordinal",)), build, prefix + bronze, prefix + filled)
+        for documents, build, bronze, filled in (
+            (weather_documents(weather), silver_weather, tables.WEATHER_BRONZE, tables.WEATHER_SILVER),
+            (air_quality_documents(air), silver_air_quality, tables.AIR_BRONZE, tables.AIR_SILVER),
         )
     ]
-    for rows, table in ready:
-        rows.write.insertInto(table)
+    for rows, build, bronze, filled in ready:
+        tables.land_pair(spark, rows, build, bronze, filled)
 
 
 def prediction_etl(spark: SparkSession, cities: DataFrame, fetcher: Fetcher) -> DataFrame:

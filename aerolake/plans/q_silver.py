@@ -59,9 +59,10 @@ def silver_weather(spark, sf):
     return silver.silver_weather(b.weather_bronze(b.readings(spark, sf)), ("id",))
 
 
-def _bronze_files(spark, rows, files=4):
+def _bronze_files(spark, rows, rows_per_file=5000):
+    """The rows in files of the input's own partitions, several for several micro-batches."""
     folder = shared_folder(spark, "incoming")
-    rows.repartition(files).write.parquet(folder)
+    rows.write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
     return folder
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.operators.numbering import surrogate_id
+from aerolake.session import shared_folder
 
 SCHEMAS = ("bronze", "silver", "gold", "dev")
 
@@ -76,6 +78,8 @@ def bronze_append(spark: SparkSession, documents: DataFrame, table: str,
 
 AIR_BRONZE = "bronze.google_api_data"
 WEATHER_BRONZE = "bronze.weather_api_data"
+AIR_SILVER = "silver.google_api_data"
+WEATHER_SILVER = "silver.weather_api_data"
 
 
 def bronze_append_air_quality(spark, documents, prefix: str = "", order_by=()) -> None:
@@ -97,13 +101,39 @@ def silver_append(rows: DataFrame, path: str, day_of: str | None = None) -> None
     dated.hint("rebalance", "dia").write.mode("append").partitionBy("dia").parquet(path)
 
 
+def location_of(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return described["data_type"].rstrip("/")
+
+
+def quarantine_of(spark: SparkSession, bronze: str) -> str:
+    """Where refused documents of a bronze table are kept, beside the table."""
+    return location_of(spark, bronze) + "_quarantine"
+
+
+def land_pair(spark: SparkSession, rows: DataFrame, build: Callable[..., DataFrame], bronze: str,
+              silver: str) -> None:
+    """Accept or refuse each ``id, data`` row for both tables.
+
+    Every document is flattened first, and the result stored once. Good ones go to
+    the bronze and the silver table, refused ones with their problems beside bronze.
+    """
+    folder = shared_folder(spark, "checked")
+    build(rows, keep=("id",), mode="checked").write.parquet(folder)
+    checked = spark.read.parquet(folder)
+    good, bad = checked.filter("problems = ''"), checked.filter("problems != ''")
+    bad.select("id", "data", "problems").write.mode("append").parquet(quarantine_of(spark, bronze))
+    good.select("id", "data").write.insertInto(bronze)
+    stamped = default_created_at(good.drop("data", "problems"))
+    stamped.select(*spark.table(silver).columns).write.insertInto(silver)
+
+
 def replace_rows(spark: SparkSession, table: str, rows: DataFrame) -> None:
     """Give the table new content. The rows are inserted into a table of the same columns
     at a new folder below the table's own, so widths are checked; the table is then
     pointed there. A failed write leaves the old content, and the rows may be computed
     from the table itself. Older folders stay for readers that still use them."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    home = re.sub(r"/v-[0-9a-f]{32}$", "", described["data_type"].rstrip("/"))
+    home = re.sub(r"/v-[0-9a-f]{32}$", "", location_of(spark, table))
     version = uuid.uuid4().hex
     folder, fresh = f"{home}/v-{version}", f"{table}_v_{version}"
     spark.sql(f"CREATE TABLE {fresh} LIKE {table} USING parquet LOCATION '{folder}'")

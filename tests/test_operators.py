@@ -488,6 +488,27 @@ def test_hourly_job(spark, catalog):
     assert last["latitude"] == 30.0 and last["data"]["temperatura"] == 30
     air = spark.table(f"{catalog}bronze.google_api_data")
     assert air.count() == 4 and json.loads(air.head().data).popitem()[1]["indexes"] == AIR["indexes"]
+    for silver_name, bronze_rows in (("silver.weather_api_data", stored), ("silver.google_api_data", air.collect())):
+        filled = spark.table(f"{catalog}{silver_name}").orderBy("id").collect()
+        assert [r.id for r in filled] == sorted(r.id for r in bronze_rows) and all(r.created_at for r in filled)
+
+
+def test_hourly_job_refuses_a_bad_document_everywhere(spark, catalog):
+    def odd_weather(method, url, params, payload):
+        status, body = weather_stub(method, url, params, payload)
+        answer = json.loads(body)
+        if float(params["lat"]) == 20.0:
+            answer["wind"]["speed"] = 12345.6
+        return status, json.dumps(answer)
+
+    rows = [("P0", 10.0, 1.0, 0), ("P1", 20.0, 1.0, 1)]
+    where = frame(spark, rows, "nome string, latitude double, longitude double, ordinal long")
+    etl.air_quality_etl(spark, where, odd_weather, air_stub, catalog)
+    bronze, filled = (spark.table(f"{catalog}{x}.weather_api_data").collect() for x in ("bronze", "silver"))
+    assert [json.loads(r.data).popitem()[0] for r in bronze] == ["P0"] == [r.bairro for r in filled]
+    refused = spark.read.parquet(tables.quarantine_of(spark, f"{catalog}bronze.weather_api_data")).collect()
+    assert [r.problems for r in refused] == ["velocidade_vento"]
+    assert spark.table(f"{catalog}silver.google_api_data").count() == 2
 
 
 def test_hourly_job_stops_before_writing(spark, catalog):
