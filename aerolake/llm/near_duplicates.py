@@ -17,15 +17,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm import darts
-from aerolake.llm.common import query, staged, table
+from aerolake.llm.common import SMALL_ROWS, query, staged, table
 from aerolake.llm.graphs import components
 from aerolake.llm.packing import _slices
 
 THRESHOLD = 0.8
-# Four standard deviations of the signatures' estimate below the threshold.
-LEAST_AGREEING = int(darts.COORDINATES * (THRESHOLD - 4 * (THRESHOLD * (1 - THRESHOLD) / darts.COORDINATES) ** 0.5))
 PAIR_BUCKET = 32  # buckets up to this size compare all pairs by a self-join, larger ones tile by tile
 TILE = 512
+FINE = 1000  # coordinates of the finer signatures that tiles compare
+
+
+def _least(k: int, threshold: float) -> int:
+    """Agreeing coordinates of ``k`` that lie four standard deviations below the threshold."""
+    return int(k * (threshold - 4 * (threshold * (1 - threshold) / k) ** 0.5))
+
+
 
 
 def text_key(text: Column) -> Column:
@@ -65,17 +71,25 @@ def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left == right).sum(1))
 
 
+def _texts(keys: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``key, text`` of the distinct ``keys``; a counted small number of them is broadcast to the texts."""
+    wanted = staged(keys.join(nodes.select("key", "doc_id"), "key").select("key", F.col("doc_id").alias("_doc_id")),
+                    "wanted")
+    if wanted.count() <= SMALL_ROWS:
+        wanted = F.broadcast(wanted)
+    found = docs.select("doc_id", "text", text_key(F.col("text")).alias("_key"))
+    return (found.join(wanted, (F.col("_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+            .select("key", "text").dropDuplicates(["key"]))
+
+
 def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs ``a, b`` whose exact similarity reaches ``threshold``, with ``similarity``."""
     agreeing = F.pandas_udf(_agreeing, "long")
     code = lambda c: nodes.select(F.col("key").alias(c), F.col("code").alias(f"{c}_code"))
     near = staged(pairs.distinct().join(code("a"), "a").join(code("b"), "b")
-                  .filter(agreeing("a_code", "b_code") >= LEAST_AGREEING).select("a", "b"), "pairs")
+                  .filter(agreeing("a_code", "b_code") >= _least(darts.COORDINATES, threshold)).select("a", "b"), "pairs")
     wanted = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).distinct()
-    wanted = wanted.join(nodes.select("key", "doc_id"), "key").select("key", F.col("doc_id").alias("_doc_id"))
-    found = docs.select("doc_id", "text", text_key(F.col("text")).alias("_key"))
-    texts = staged(found.join(wanted, (F.col("_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
-                   .select("key", "text").dropDuplicates(["key"]), "texts")
+    texts = staged(_texts(wanted, nodes, docs), "texts")
 
     def compare(batches):
         for whole in batches:
@@ -103,8 +117,14 @@ def _star_pairs(hits: DataFrame) -> DataFrame:
             .filter("key != center").select(*_ordered("key", "center")).distinct())
 
 
-def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of one bucket whose nodes are in different classes."""
+def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame,
+                 threshold: float) -> DataFrame:
+    """Pairs of one bucket whose nodes are in different classes.
+
+    Large buckets mostly hold copies of one text, over and over in many bands. Those with
+    the same main class are put together, which only adds pairs, and their nodes get finer
+    signatures, so that pairs somewhat below the threshold do not pile up.
+    """
     classed = (hits.join(roots.withColumnRenamed("node", "key"), "key", "left")
                .select("band", "key", F.coalesce("root", "key").alias("root")))
     open_ = (classed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
@@ -114,12 +134,30 @@ def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFra
     other = small.select("band", F.col("key").alias("key2"), F.col("root").alias("root2"))
     pairs = small.join(other, "band").filter("key < key2 AND root != root2").select(
         F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
-    # A large bucket is cut into parts, and each pair of parts is a tile of its own.
+    large = rows.filter(F.col("n") > PAIR_BUCKET)
+    main = (large.groupBy("band", "root").agg(F.count("*").alias("k"))
+            .groupBy("band").agg(F.max(F.struct("k", "root")).alias("main"))
+            .select("band", F.col("main.root").alias("family")))
+    members = staged(large.join(main, "band").select("family", "key", "root").distinct(), "families")
+    if not members.limit(1).count():
+        return pairs
+
+    def sign(batches):
+        for whole in batches:
+            for batch in _slices(whole, "text"):
+                sets = [darts.shingles(t)[0] for t in batch.column("text").to_pylist()]
+                code = darts.short_code(darts.signatures([(e, np.ones(len(e))) for e in sets], FINE))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key"), pa.array([c.tobytes() for c in code], pa.binary())], names=["key", "code"])
+
+    fine = staged(_texts(members.select("key").distinct(), nodes, docs).mapInArrow(sign, "key binary, code binary"), "fine")
+    # A large family is cut into parts, and each pair of parts is a tile of its own.
+    sizes = members.groupBy("family").agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / TILE).cast("int")
-    large = (rows.filter(F.col("n") > PAIR_BUCKET).join(nodes.select("key", "code"), "key")
+    tiles = (members.join(sizes, "family").join(fine, "key")
              .withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-             .select("band", F.least("part", "with").alias("row"), F.greatest("part", "with").alias("col"),
+             .select("family", F.least("part", "with").alias("row"), F.greatest("part", "with").alias("col"),
                      "part", "key", "root", "code"))
 
     def tile(group: pd.DataFrame) -> pd.DataFrame:
@@ -130,11 +168,11 @@ def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFra
         out = []
         for i in np.flatnonzero(part == group["row"].iloc[0]):
             rest = np.flatnonzero((root != root[i]) & ((np.arange(len(key)) > i) if whole else (part != part[i])))
-            near = rest[(code[rest] == code[i]).sum(1) >= LEAST_AGREEING]
+            near = rest[(code[rest] == code[i]).sum(1) >= _least(FINE, threshold)]
             out += [(min(key[i], key[j]), max(key[i], key[j])) for j in near]
-        return pd.DataFrame(out, columns=["a", "b"])
+        return pd.DataFrame(out, columns=["a", "b"], dtype=object)
 
-    tiled = large.groupBy("band", "row", "col").applyInPandas(tile, "a binary, b binary")
+    tiled = tiles.groupBy("family", "row", "col").applyInPandas(tile, "a binary, b binary")
     return pairs.unionByName(tiled.distinct())
 
 
@@ -158,7 +196,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     hits = staged(banded.join(shared, "band"), "hits")
     first = links(_star_pairs(hits), nodes, docs, threshold)
     roots = components(first.select("a", "b"))
-    second = links(_cross_pairs(hits, nodes, roots), nodes, docs, threshold)
+    second = links(_cross_pairs(hits, nodes, roots, docs, threshold), nodes, docs, threshold)
     if second.limit(1).count():
         roots = components(first.unionByName(second).select("a", "b"))
     placed = (nodes.select("key", "doc_id", "copies").join(roots.withColumnRenamed("node", "key"), "key", "left")

@@ -107,11 +107,14 @@ def test_groups_lose_no_link(spark, monkeypatch, bucket, tile):
     assert got_classes(nd.near_duplicates(df)) == classes(rows)
 
 
-def test_components_of_a_long_chain(spark):
+def test_components_of_a_long_chain(spark, monkeypatch):
     n = 300
     order = list(range(n))
     random.Random(4).shuffle(order)
     edges = [(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001), (1001, 1000), (1000, 1001)]
     found = graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.root for r in found} == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000}
+    monkeypatch.setattr(graphs, "FEW_NODES", 0)
+    found = graphs.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {r.node: r.root for r in found} == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000}
     assert graphs.components(spark.createDataFrame([], "a long, b long")).collect() == []
