@@ -38,7 +38,8 @@ def check_page(skip: int, limit: int) -> None:
         raise ValueError("skip must not be negative and limit must be positive")
 
 
-def page_rows(df: DataFrame, key: str, skip: int = 0, limit: int = 100) -> DataFrame:
+def page_rows(df: DataFrame, key: str, skip: int = 0, limit: int = 100,
+              shallow: int | None = None) -> DataFrame:
     """Rows ``skip .. skip+limit`` in order of key, then of the other columns.
 
     Null keys come first and rows alike in all columns are still rows of their own, at
@@ -48,7 +49,7 @@ def page_rows(df: DataFrame, key: str, skip: int = 0, limit: int = 100) -> DataF
     """
     check_page(skip, limit)
     order = (key, *[c for c in df.columns if c != key])
-    if skip + limit <= SHALLOW_ROWS:
+    if skip + limit <= (SHALLOW_ROWS if shallow is None else shallow):
         return df.orderBy(*order).offset(skip).limit(limit)
     numbered = surrogate_id(df, order, id_column="_position")
     wanted = numbered.filter(F.col("_position").between(skip + 1, skip + limit))

@@ -447,3 +447,19 @@ def error_class(spark, sf):
     return rows.groupBy("status", reshape.error_class(F.col("status")).alias("error_class")).agg(
         F.count("*").alias("n")
     )
+
+
+_ODD_MEMBERS = '"flag":true,"quoted":"0","odd":"[x","open":"{y","n":70.0,"none":null,"deep":{"a":["1",2]}'
+
+
+@query("city_local_time", f"""
+SELECT event_id, strftime(TIMESTAMP '1970-01-01' + to_seconds(1700000000 + event_id - 10800), '%Y-%m-%d %H:%M:%S') AS dt,
+       '{{"dt":"' || strftime(TIMESTAMP '1970-01-01' + to_seconds(1700000000 + event_id - 10800), '%Y-%m-%d %H:%M:%S')
+         || '","timezone":-10800,{_ODD_MEMBERS}}}' AS body
+FROM events""")
+def city_local_time(spark, sf):
+    """Members of every type pass through as they are."""
+    rows = b.table(spark, sf, "events").select("event_id", F.concat(
+        F.lit('{"dt":'), (F.lit(1700000000) + F.col("event_id")).cast("string"),
+        F.lit(',"timezone":-10800,' + _ODD_MEMBERS + "}")).alias("body"))
+    return reshape.city_local_time(rows).select("event_id", "dt", "body")

@@ -35,6 +35,13 @@ def page_rows(spark, sf):
     return lookups.page_rows(b.users(spark, sf), "email", 40, 100)
 
 
+@query("page_rows_deep", f"""
+WITH {b.USERS_SQL} SELECT * FROM users ORDER BY role NULLS FIRST, id OFFSET 25 LIMIT 100""")
+def page_rows_deep(spark, sf):
+    """The parallel way, over a key with nulls that almost every row repeats."""
+    return lookups.page_rows(b.users(spark, sf), "role", 25, 100, shallow=0)
+
+
 @query("page_args_check", """
 SELECT o_orderkey, o_orderkey % 7 - 2 >= 0 AND o_custkey % 3 >= 1 AS ok FROM orders""")
 def page_args_check(spark, sf):
