@@ -24,12 +24,14 @@ def store_buckets(docs: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
     rows = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("data"))
     total = rows.agg(F.sum(F.length("data"))).first()[0] or 0
     n = max(1, math.ceil(total / bucket_bytes))
+    # Spark limits a table's buckets; beyond that a file holds several of ours.
+    files = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
     name = f"aerolake_buckets_{uuid.uuid4().hex}"
     (rows.withColumn("place", F.monotonically_increasing_id())
      .withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(n)).cast("long"))
-     .repartition(n, "bucket")
+     .repartition(files, "bucket")
      .write.option("compression", "zstd").option("path", shared_folder(spark, "buckets"))
-     .bucketBy(n, "bucket").sortBy("bucket").saveAsTable(name))
+     .bucketBy(files, "bucket").sortBy("bucket").saveAsTable(name))
     stored = spark.table(name)
     stored.schema  # noqa: B018  resolves the files before the name goes
     spark.sql(f"DROP TABLE {name}")

@@ -45,3 +45,14 @@ def test_empty_table_and_a_single_row(spark):
     assert backoff.backoff_scores(cases.empty(spark)).collect() == []
     one = spark.createDataFrame([(1, "a b a")], "doc_id long, text string")
     assert [(r.n_tokens, r.n_unseen) for r in backoff.backoff_scores(one).collect()] == [(3, 3)]
+
+
+def test_more_buckets_than_a_table_may_have(spark):
+    rows = [(i, f"a b c {i % 3} d e {i % 5}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        got = backoff.backoff_scores(df, bucket_bytes=50).collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert sorted((repr(r.doc_id), r.n_tokens, r.n_top, r.n_unseen, round(r.log_score, 4)) for r in got) == brute(rows, 2)
