@@ -107,10 +107,9 @@ def _iban(value: str, key: bytes, back: bool) -> str | None:
 
 def _ip(value: str, key: bytes, back: bool) -> str | None:
     parts = value.split(".")
-    if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts) or not 1 <= int(parts[0]) <= 223:
+    if any(len(p) > 1 and p[0] == "0" or int(p) > 255 for p in parts):
         return None
-    number = int.from_bytes(bytes(map(int, parts)), "big")
-    out = permute(number, 1 << 32, key, b"ip", lambda x: 1 <= x >> 24 <= 223, back)
+    out = permute(int.from_bytes(bytes(map(int, parts)), "big"), 1 << 32, key, b"ip", back=back)
     return ".".join(map(str, out.to_bytes(4, "big")))
 
 

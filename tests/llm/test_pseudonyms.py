@@ -51,6 +51,11 @@ def test_what_fails_its_check_stays(text):
     assert p.pseudonymise(text, KEY) == (text, {})
 
 
+@pytest.mark.parametrize("value", ["233.254.104.120", "255.1.2.3", "0.0.0.0", "255.255.255.255", "240.56.125.154"])
+def test_addresses_of_any_first_octet(value):
+    test_values_are_replaced_in_their_format_and_back("ip", value)
+
+
 @given(st.lists(st.sampled_from([v for vs in VALID.values() for v in vs] + ALONE), max_size=8))
 @settings(max_examples=50, deadline=None)
 def test_texts_come_back(values):
