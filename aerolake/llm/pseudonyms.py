@@ -21,18 +21,44 @@ from aerolake.llm.common import query, table
 from aerolake.llm.feistel import permute
 
 # Formats, alphabets, ranges.
-PATTERN = re.compile(r"""
-  (?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-]))
-| (?P<secret>(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])
-    |(?i:\b(?:token|password|passwd|secret|api[_-]?key)\b["']?\s{0,3}[=:]\s{0,3}["']?)(?P<hex>[0-9a-f]{12,128}|[0-9A-F]{12,128})(?![0-9A-Za-z]))
-| (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
-| (?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))
-| (?P<date>(?<![\w/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\w/-]|\.\d))
-| (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-| (?P<card>(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-]))
-| (?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\w)
-    |(?<![\w(+.-])(?:\(\d{3}\)[ ]?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]))
-""", re.X | re.A)
+FORMS = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "secret": r"""(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])
+        |(?i:\b(?:token|password|passwd|secret|api[_-]?key)\b["']?\s{0,3}[=:]\s{0,3}["']?)(?P<hex>[0-9a-f]{12,128}|[0-9A-F]{12,128})(?![0-9A-Za-z])""",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
+    "date": r"(?<![\w/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\w/-]|\.\d)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "card": r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "phone": r"""(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\w)
+        |(?<![\w(+.-])(?:\(\d{3}\)[ ]?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])""",
+}
+FORM = {kind: re.compile(form, re.X | re.A) for kind, form in FORMS.items()}
+PATTERN = re.compile("|".join(FORMS.values()), re.X | re.A)
+# Digits behind the country code, the usual number first; without a trunk zero.
+PHONE_DIGITS = {
+    "1": (10,), "7": (10,), "20": (10, 9), "27": (9,), "30": (10,), "31": (9,), "32": (9, 8), "33": (9,), "34": (9,),
+    "36": (9, 8), "39": (10, 9, 11, 8), "40": (9,), "41": (9,), "43": (11, 10, 12, 9, 8, 7), "44": (10, 9), "45": (8,),
+    "46": (9, 8, 7), "47": (8,), "48": (9,), "49": (11, 10, 9, 8, 7), "51": (9, 8), "52": (10,), "53": (8,), "54": (11, 10),
+    "55": (11, 10), "56": (9,), "57": (10, 8), "58": (10,), "60": (10, 9, 8), "61": (9,), "62": (11, 10, 12, 9), "63": (10, 9),
+    "64": (9, 8, 10), "65": (8,), "66": (9, 8), "81": (10, 9), "82": (10, 9, 8), "84": (9, 10), "86": (11, 10), "90": (10,),
+    "91": (10,), "92": (10, 9), "93": (9,), "94": (9,), "95": (10, 9, 8), "98": (10,), "212": (9,), "213": (9, 8),
+    "216": (8,), "218": (9,), "233": (9,), "234": (10, 8), "251": (9,), "254": (9,), "255": (9,), "256": (9,),
+    "351": (9,), "352": (9, 8, 6), "353": (9, 8, 7), "354": (7,), "355": (9, 8), "356": (8,), "357": (8,), "358": (10, 9, 8, 7),
+    "359": (9, 8), "370": (8,), "371": (8,), "372": (8, 7), "373": (8,), "374": (8,), "375": (9,), "377": (9, 8), "380": (9,),
+    "381": (9, 8), "382": (8,), "385": (9, 8), "386": (8,), "387": (8,), "389": (8,), "420": (9,), "421": (9,), "852": (8,),
+    "853": (8,), "855": (9, 8), "880": (10,), "886": (9, 8), "961": (8, 7), "962": (9, 8), "964": (10,), "965": (8,),
+    "966": (9,), "968": (8,), "971": (9, 8), "972": (9, 8), "973": (8,), "974": (8,), "977": (10, 8), "992": (9,),
+    "994": (9,), "995": (9,), "996": (9,), "998": (9,)}
+IBAN_CHARS = {
+    country: int(n) for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG DZ",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+PRINTED = re.compile(r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4})+(?: [A-Z0-9]{1,3})?", re.A)
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
+CARD_DIGITS = (16, 15, 14, 13, 19, 18, 17)  # of other groups, in this order
 # A text without any of these has nothing to find.
 TRIGGER = re.compile(r"[0-9@]")
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
@@ -96,13 +122,32 @@ def _secret(value: str, key: bytes, back: bool) -> str | None:
     return _classes(value, key, b"hex", back, HEX if value == value.lower() else HEX.upper())
 
 
+def _blanks(value: str) -> list[str]:
+    """``value`` and what stands before each of its blanks, longest first."""
+    ends = [i for i, c in enumerate(value) if c == " "]
+    return [value] + [value[:i] for i in reversed(ends)]
+
+
+def _iban_cuts(value: str) -> tuple[list[str], list[str]]:
+    """The prefixes of ``value`` that have their form's fixed length, and the others, in order."""
+    fit = IBAN_CHARS.get(value[:2])
+    cuts = [(cut, len(cut) - cut.count(" ")) for cut in _blanks(value)]
+    return [c for c, n in cuts if n == fit], [c for c, n in cuts if n != fit and 15 <= n <= 34]
+
+
 def _iban(value: str, key: bytes, back: bool) -> str | None:
     flat = value.replace(" ", "")
     if not 15 <= len(flat) <= 34 or _iban_rest(flat) != 1:
         return None
-    body = _classes(flat[4:], key, b"iban:" + flat[:2].encode(), back)
-    check = 98 - _iban_rest(flat[:2] + "00" + body)
-    return _refill(value, f"{flat[:2]}{check:02d}{body}")
+
+    def whole(body: str) -> str:
+        check = 98 - _iban_rest(flat[:2] + "00" + body)
+        return _refill(value, f"{flat[:2]}{check:02d}{body}")
+
+    # What is read whole must not have a part that is tried first and valid.
+    first = {len(c) for c in _iban_cuts(value)[0]} - {len(value)}
+    ok = lambda body: not any(_iban_rest(whole(body)[:n].replace(" ", "")) == 1 for n in first)
+    return whole(_classes(flat[4:], key, b"iban:" + flat[:2].encode(), back, valid=ok if first else None))
 
 
 def _ip(value: str, key: bytes, back: bool) -> str | None:
@@ -163,21 +208,63 @@ def _ssn(value: str, key: bytes, back: bool) -> str | None:
     return _refill(value, _classes(digits, key, b"ssn", back, valid=_ssn_ok)) if _ssn_ok(digits) else None
 
 
+def _card_cuts(value: str) -> tuple[list[str], list[str]]:
+    """The prefixes of ``value`` in one run or in a card's groups, and the others, in order."""
+    fixed, others = [], []
+    for cut in _blanks(value):
+        groups = tuple(map(len, re.split("[ -]", cut)))
+        if 13 <= sum(groups) <= 19:
+            (fixed if len(groups) == 1 or groups in CARD_GROUPS else others).append((cut, sum(groups)))
+    return [c for c, _ in fixed], [c for c, n in sorted(others, key=lambda x: CARD_DIGITS.index(x[1]))]
+
+
 def _card(value: str, key: bytes, back: bool) -> str | None:
     digits = "".join(c for c in value if c.isdigit())
     if not 13 <= len(digits) <= 19 or not _luhn_ok(digits) or digits[0] == "0":
         return None
-    body = digits[0] + _classes(digits[1:-1], key, b"card:" + digits[:1].encode(), back)
-    check = next(c for c in DIGITS if _luhn_ok(body + c))
-    return _refill(value, body + check)
 
+    def whole(middle: str) -> str:
+        body = digits[0] + middle
+        return body + next(c for c in DIGITS if _luhn_ok(body + c))
 
-def _phone(value: str, key: bytes, back: bool) -> str | None:
+    # What is read whole must not have a part that is tried first and valid.
+    cuts = [c for found in _card_cuts(value) for c in found]
+    first = {sum(c.isdigit() for c in cut) for cut in cuts[:cuts.index(value)]}
+    ok = lambda middle: not any(_luhn_ok(whole(middle)[:n]) for n in first)
+    tweak = b"card:" + digits[:1].encode()
+    return _refill(value, whole(_classes(digits[1:-1], key, tweak, back, valid=ok if first else None)))
+
+
+def _phone_head(value: str) -> str:
+    """The country code with its plus; nothing for a number without one."""
     head = re.match(r"\+\d{1,3}(?=\D)|", value).group()
     if value.startswith("+") and not head:
-        head = value[:2]
+        head = next((value[:n] for n in (2, 3, 4) if value[1:n] in PHONE_DIGITS), value[:2])
+    return head
+
+
+def _phone_cuts(value: str) -> tuple[list[str], list[str]]:
+    """The prefixes of ``value`` that have their country's number of digits, and the others, in order."""
+    head, fixed, others = _phone_head(value), [], []
+    if not head:
+        return [value], []
+    usual = PHONE_DIGITS.get(head[1:], ())
+    for cut in _blanks(value):
+        digits = "".join(c for c in cut[len(head):] if c.isdigit())
+        n = len(digits) - (digits[:1] == "0" and len(digits) not in usual)
+        if n in usual:
+            fixed.append((usual.index(n), cut))
+        else:
+            others.append(cut)
+    return [c for _, c in sorted(fixed, key=lambda x: x[0])], others
+
+
+def _phone(value: str, key: bytes, back: bool) -> str | None:
+    head = _phone_head(value)
     rest = "".join(c for c in value[len(head):] if c.isdigit())
-    if not 6 <= len(rest) <= 14:
+    # A code that nothing parts from its number counts with it.
+    parted = not value[len(head):len(head) + 1].isdigit()
+    if not (6 <= len(rest) if parted else 6 <= len(rest) + len(head) - 2) or len(rest) + (0 if parted else len(head) - 2) > 14:
         return None
     zero = rest[0] == "0"
     out = _classes(rest, key, b"phone:" + head.encode(), back, valid=lambda x: (x[0] == "0") == zero)
@@ -188,28 +275,61 @@ CHANGE = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date":
           "card": _card, "phone": _phone}
 
 
+# Kinds whose form does not say where a value ends: a blank may be within it or behind it.
+CUTS = {"iban": _iban_cuts, "card": _card_cuts, "phone": _phone_cuts}
+
+
+def _values(text: str, at: int) -> tuple[list[tuple[str, int, str]], list[tuple[str, int, str]]]:
+    """``(kind, start, value)`` that may begin at ``at``: those of fixed length, and the others."""
+    fixed, others = [], []
+    for kind, form in FORM.items():
+        if match := form.match(text, at):
+            if kind in CUTS:
+                for found, cuts in zip((fixed, others), CUTS[kind](match.group())):
+                    found += [(kind, at, cut) for cut in cuts]
+            else:
+                fixed.append((kind, match.start("hex"), match["hex"]) if kind == "secret" and match["hex"]
+                             else (kind, at, match.group()))
+    return fixed, others
+
+
+def _holds_another(text: str, kind: str, start: int, value: str, key: bytes) -> bool:
+    """Whether a value of fixed length begins behind a blank of ``value``."""
+    for i, c in enumerate(value):
+        if c == " " and (kind != "phone" or sum(x.isdigit() for x in value[len(_phone_head(value)):i]) >= 6):
+            if any(CHANGE[k](v, key, False) for k, _, v in _values(text, start + i + 1)[0]):
+                return True
+    return False
+
+
 def pseudonymise(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, dict[str, int]]:
     """The text with every valid value replaced (or turned back), and how many of each kind.
 
-    A null text stays null. What fails its check stays as it is.
+    A null text stays null. What fails its check stays as it is; its shorter parts up to a
+    blank, other kinds and later starts within it are tried before it is left. Lengths
+    that the form fixes (by country, by a card's groups) go before all others, so
+    neighbours one blank apart are not taken for a part of a value.
     """
     found: dict[str, int] = {}
     if not text or not TRIGGER.search(text):
         return text, found
-
-    def put(match: re.Match) -> str:
-        kind, value = match.lastgroup, match.group()
-        if match["hex"]:
-            kind, value = "secret", match["hex"]
-        elif kind == "sep":
-            kind = "date"
-        out = CHANGE[kind](value, key, back)
-        if out is None:
-            return match.group()
-        found[kind] = found.get(kind, 0) + 1
-        return match.group()[:len(match.group()) - len(value)] + out
-
-    return PATTERN.sub(put, text), found
+    out, done, barred, match = [], 0, 0, PATTERN.search(text)
+    while match:
+        at = match.start()
+        fixed, others = _values(text, at)
+        for i, (kind, start, value) in enumerate(fixed + others):
+            new = None if kind == "card" and at < barred else CHANGE[kind](value, key, back)
+            if new is not None and (i < len(fixed) or not _holds_another(text, kind, start, value, key)):
+                out += [text[done:start], new]
+                done = at = start + len(value)
+                found[kind] = found.get(kind, 0) + 1
+                break
+        else:
+            # Groups of a printed account number with a wrong check are no card.
+            barred = max([barred] + [at + len(v) for kind, _, v in fixed if kind == "iban" and PRINTED.fullmatch(v)])
+            at += 1
+        match = PATTERN.search(text, at)
+    return "".join(out) + text[done:], found
 
 
 def pseudonymise_texts(key: bytes, back: bool = False):

@@ -63,6 +63,42 @@ def test_texts_come_back(values):
     assert p.pseudonymise(p.pseudonymise(text, KEY)[0], KEY, back=True)[0] == text
 
 
+MORE = VALID | {
+    "iban": VALID["iban"] + ["BE68 5390 0754 7034", "FR14 2004 1010 0505 0001 3M02 606"],
+    "phone": VALID["phone"] + ["+1 (826) 555-4081", "+33 1 23 45 67 89"],
+    "ip": VALID["ip"] + ["190.137.223.204"],
+}
+NEAR = ["190", "7", "12/25", "1234", "12345", "THE", "CARD", "A1", "4.0", "word"]
+
+
+@pytest.mark.parametrize("value", [v for vs in MORE.values() for v in vs])
+@pytest.mark.parametrize("key", [KEY, b"second", b"third"])
+def test_neighbours_one_blank_apart(value, key):
+    alone = lambda v: p.pseudonymise(v, key)
+    for other in [v for vs in MORE.values() for v in vs] + NEAR:
+        for pair in ((value, other), (other, value)):
+            text = " ".join(pair)
+            out, found = p.pseudonymise(text, key)
+            assert out == " ".join(alone(v)[0] for v in pair), text
+            assert sum(found.values()) == sum(sum(alone(v)[1].values()) for v in pair), text
+            assert p.pseudonymise(out, key, back=True)[0] == text
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("+1 (826) 555-4081 190.137.223.204", {"phone": 1, "ip": 1}),
+    ("000-45-6789 4111 1111 1111 1111", {"card": 1}),
+    ("AB12 DE89 3704 0044 0532 0130 00", {"iban": 1}),
+    ("BE68 GB29 NWBK 6016 1331 9268 19", {"iban": 1}),
+    ("1234 5678 123-45-6789 190", {"ssn": 1}),
+    ("+999 1234567 190.137.223.204", {"phone": 1, "ip": 1}),
+    ("+14155550123 +442079460958 +999 12 345 678", {"phone": 3}),
+    ("4111 11111111 1111, 4111 1111 1111 1111 110", {"card": 2}),
+])
+def test_values_within_longer_matches(text, kinds):
+    out, found = p.pseudonymise(text, KEY)
+    assert found == kinds and p.pseudonymise(out, KEY, back=True)[0] == text
+
+
 def test_awkward_rows(spark):
     docs = cases.documents(spark)
     personal = spark.createDataFrame([(100, "mail a.b@c.org or +1 (988) 555-2485") + ("x",) * (len(docs.columns) - 2)], cases.SCHEMA)
