@@ -11,6 +11,8 @@ every count.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,8 +23,10 @@ from aerolake.llm.common import query, table
 from aerolake.llm.darts import MOST_WORDS, _words, mix
 
 ORDER, ALPHA = 2, 0.4
+QUERY_ORDER = 3  # of the registered query
 BUCKET_BYTES = 8_000_000
-_SENT = "part long, bucket long, n int, grams binary, counts binary"
+RAW_BYTES = 5  # low bytes of a step between sorted hashes; they do not compress
+_SENT = "part long, bucket long, n int, size int, steps binary, rest binary"
 _RESULT = "doc_id {}, n_tokens long, n_top long, n_unseen long, log_score double"
 
 
@@ -52,6 +56,36 @@ def _nth(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes each as the largest needs, byte by byte, compressed."""
+    data = np.ascontiguousarray(numbers, "<u8").view(np.uint8).reshape(-1, 8)
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8)
+    return zlib.compress(data[:, :width].T.tobytes(), 1)
+
+
+def _wide(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(-1, size)
+    out = np.zeros((size, 8), np.uint8)
+    out[:, :len(planes)] = planes.T
+    return out.reshape(-1).view("<u8")
+
+
+def _pack(keys: np.ndarray, counts: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Sorted distinct keys and their counts: how many, the low bytes of the steps, and the rest."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    low = np.ascontiguousarray(steps, "<u8").view(np.uint8).reshape(-1, 8)[:, :RAW_BYTES]
+    high = _narrow(steps >> np.uint64(8 * RAW_BYTES))
+    return len(keys), low.tobytes(), len(high).to_bytes(4, "little") + high + _narrow(counts)
+
+
+def _unpack(size: int, steps: bytes, rest: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low = np.zeros((size, 8), np.uint8)
+    low[:, :RAW_BYTES] = np.frombuffer(steps, np.uint8).reshape(size, RAW_BYTES)
+    cut = 4 + int.from_bytes(rest[:4], "little")
+    high = _wide(rest[4:cut], size) << np.uint64(8 * RAW_BYTES)
+    return np.cumsum(low.reshape(-1).view("<u8") | high, dtype=np.uint64), _wide(rest[cut:], size)
+
+
 def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, n_tokens, n_top, n_unseen, log_score, mean_log_score``, a row per row of ``docs``.
@@ -73,21 +107,19 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
         bucket, out = int(group["bucket"].iloc[0]), []
         for n, (_, hashes) in enumerate(_grams(words, _nth(sizes), order), 1):
             grams, counts = np.unique(hashes, return_counts=True)
-            out += [(part, bucket, n, grams[at].astype("<u8").tobytes(), counts[at].astype("<u4").tobytes())
+            # A part's hashes differ by multiples of the number of parts.
+            out += [(part, bucket, n, *_pack(grams[at] // np.uint64(parts), counts[at]))
                     for part, at in by_part(grams, parts)]
-        return pd.DataFrame(out, columns=["part", "bucket", "n", "grams", "counts"])
+        return pd.DataFrame(out, columns=["part", "bucket", "n", "size", "steps", "rest"])
 
     def add_up(group: pd.DataFrame) -> pd.DataFrame:
-        grams = [np.frombuffer(g, "<u8") for g in group["grams"]]
-        counts = np.concatenate([np.frombuffer(c, "<u4") for c in group["counts"]])
+        grams, counts = zip(*map(_unpack, group["size"], group["steps"], group["rest"]))
         distinct, which = np.unique(np.concatenate(grams), return_inverse=True)
         which = which.ravel()
-        totals = np.bincount(which, weights=counts, minlength=len(distinct)).astype("<u8")[which]
-        # Totals of more than 32 bits make their row wider.
-        cut = [t.astype("<u4") if t.max() < 1 << 32 else t
-               for t in np.split(totals, np.cumsum([len(g) for g in grams])[:-1])]
+        totals = np.bincount(which, weights=np.concatenate(counts), minlength=len(distinct)).astype("<u8")[which]
+        cut = np.split(totals, np.cumsum([len(g) for g in grams])[:-1])
         return pd.DataFrame({"bucket": group["bucket"], "part": group["part"], "n": group["n"],
-                             "totals": [t.tobytes() for t in cut]})
+                             "totals": [_narrow(t) for t in cut]})
 
     sent = stored.groupBy("bucket").applyInPandas(send, _SENT)
     totals = sent.groupBy("n", "part").applyInPandas(add_up, "bucket long, part long, n int, totals binary")
@@ -104,8 +136,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
             which = which.ravel()
             whole = np.zeros(len(grams), np.int64)
             for part, at in by_part(grams, parts):
-                data = given[n, part]
-                whole[at] = np.frombuffer(data, "<u4" if len(data) == 4 * len(at) else "<u8")
+                whole[at] = _wide(given[n, part], len(at))
             _, pair, own = np.unique(owner[ends] * max(len(grams), 1) + which, return_inverse=True, return_counts=True)
             found = np.zeros(len(words), np.int64)
             found[ends] = whole[which] - own[pair.ravel()]
@@ -136,4 +167,4 @@ def _corpus_size(docs: DataFrame) -> int:
 
 @query("op7_stupid_backoff")
 def op7_stupid_backoff(spark, sf):
-    return backoff_scores(table(spark, sf, "documents"))
+    return backoff_scores(table(spark, sf, "documents"), order=QUERY_ORDER)

@@ -2,9 +2,11 @@ import math
 from collections import Counter
 
 import cases
+import numpy as np
 import pytest
 
 from aerolake.llm import backoff
+from aerolake.llm.common import QUERIES
 
 
 def brute(rows, order, alpha=0.4):
@@ -56,3 +58,18 @@ def test_more_buckets_than_a_table_may_have(spark):
     finally:
         spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
     assert sorted((repr(r.doc_id), r.n_tokens, r.n_top, r.n_unseen, round(r.log_score, 4)) for r in got) == brute(rows, 2)
+
+
+def test_the_query_backs_off_from_trigrams(spark, tmp_path):
+    rows = [(i, f"a b c {i % 3} d e {i % 5}") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op7_stupid_backoff"](spark, str(tmp_path)).collect()
+    assert sorted((repr(r.doc_id), r.n_tokens, r.n_top, r.n_unseen, round(r.log_score, 4)) for r in got) == brute(rows, 3)
+
+
+@pytest.mark.parametrize("keys", [[0], [2**64 - 1], [0, 1, 2**40, 2**63, 2**64 - 1], list(range(5, 5000, 7))])
+def test_packed_counts_come_back(keys):
+    keys = np.array(keys, np.uint64)
+    counts = np.arange(1, len(keys) + 1) * 300_000_000
+    got = backoff._unpack(*backoff._pack(keys, counts))
+    assert got[0].tolist() == keys.tolist() and got[1].tolist() == counts.tolist()
