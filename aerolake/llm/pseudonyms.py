@@ -27,7 +27,8 @@ FORMS = {
         |(?i:\b(?:token|password|passwd|secret|api[_-]?key)\b["']?\s{0,3}[=:]\s{0,3}["']?)(?P<hex>[0-9a-f]{12,128}|[0-9A-F]{12,128})(?![0-9A-Za-z])""",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
-    "date": r"(?<![\w/.-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\w/-]|\.\d)",
+    "date": r"""(?<![\w/.-])(?:\d{4}(?P<ymd>[/-])\d{1,2}(?P=ymd)\d{1,2}(?=T(?:[01]\d|2[0-4]):?[0-5]\d)
+        |(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}(?P<sep>[/.-])\d{1,2}(?P=sep)\d{4}|\d{4}/\d{1,2}/\d{1,2})(?![\w/-]|\.\d))""",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "phone": r"""(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\w)

@@ -99,6 +99,14 @@ def test_values_within_longer_matches(text, kinds):
     assert found == kinds and p.pseudonymise(out, KEY, back=True)[0] == text
 
 
+@pytest.mark.parametrize("time", ["T10:15:00", "T10:15:00Z", "T23:59:59.123+02:00", "T1015"])
+def test_dates_of_time_stamps(time):
+    out, found = p.pseudonymise(f"at 2024-02-29{time} 190", KEY)
+    assert found == {"date": 1} and out == f"at {p.pseudonymise('2024-02-29', KEY)[0]}{time} 190"
+    assert p.pseudonymise(out, KEY, back=True)[0] == f"at 2024-02-29{time} 190"
+    assert p.pseudonymise("2024-02-29Table 2024-02-30T10:15:00 2024-02-29T99:15", KEY)[1] == {}
+
+
 def test_awkward_rows(spark):
     docs = cases.documents(spark)
     personal = spark.createDataFrame([(100, "mail a.b@c.org or +1 (988) 555-2485") + ("x",) * (len(docs.columns) - 2)], cases.SCHEMA)
