@@ -59,20 +59,24 @@ def _height(n: int) -> int:
 
 
 def build(leaves: DataFrame, height: int) -> tuple[list[DataFrame], DataFrame]:
-    """(the runs of each level, the roots) of trees ``tree, idx, hash, n`` (``n`` leaves each).
+    """(the runs of each level, the roots) of trees ``tree, idx, hash, n, row`` (``n`` leaves each).
 
-    A run ``tree, level, idx, hashes, n`` holds the hashes of at most 16 neighbours of the
-    level; ``idx`` is their parent's place. Roots are ``tree, level, hash``.
+    A run ``tree, level, idx, nodes, n`` holds hash and ``row`` of at most 16 neighbours of
+    the level; ``idx`` is their parent's place. Roots are ``tree, level, hash, row``. ``row``
+    is what a leaf takes along; nodes above have null there.
     """
     nodes, runs, roots = leaves, [], []
-    root = lambda df, level: df.filter("n = 1").select("tree", F.lit(level).alias("level"), "hash")
+    kind = leaves.schema["row"].dataType
+    root = lambda df, level: df.filter("n = 1").select("tree", F.lit(level).alias("level"), "hash", "row")
     for level in range(height):
         roots.append(root(nodes, level))
         run = (nodes.filter("n > 1").withColumn("up", F.floor(F.col("idx") / ARITY).cast("long")).groupBy("tree", "up")
-               .agg(F.array_sort(F.collect_list(F.struct("idx", "hash"))).alias("run"), F.max("n").alias("n")))
+               .agg(F.collect_list(F.struct("idx", "hash", "row")).alias("run"), F.max("n").alias("n")))
+        in_order = F.array_sort("run", lambda a, b: (a["idx"] - b["idx"]).cast("int"))
         runs.append(staged(run.select("tree", F.lit(level).alias("level"), F.col("up").alias("idx"),
-                                      F.transform("run", lambda x: x["hash"]).alias("hashes"), "n"), "runs"))
-        nodes = runs[-1].select("tree", "idx", digest(F.array_join("hashes", "")).alias("hash"), _parents(F.col("n")).alias("n"))
+                                      F.transform(in_order, lambda x: F.struct(x["hash"], x["row"])).alias("nodes"), "n"), "runs"))
+        nodes = runs[-1].select("tree", "idx", digest(F.array_join("nodes.hash", "")).alias("hash"), _parents(F.col("n")).alias("n"),
+                                F.lit(None).cast(kind).alias("row"))
     roots.append(root(nodes, height))
     return runs, reduce(DataFrame.unionByName, roots)
 
@@ -81,9 +85,9 @@ def _hops(run: DataFrame) -> DataFrame:
     """Each node's pointer to its parent; the segment is the run and the place in it."""
     return run.select(
         "tree", "level", F.col("tree").alias("up_tree"), (F.col("level") + 1).alias("up_level"), F.col("idx").alias("up_idx"),
-        F.array_join("hashes", "").alias("run"), F.posexplode("hashes").alias("pos", "hash"),
+        F.array_join("nodes.hash", "").alias("run"), F.posexplode("nodes").alias("pos", "node"),
     ).select("tree", "level", (F.col("up_idx") * ARITY + F.col("pos")).alias("idx"), *_UP,
-             F.array(F.struct("run", "pos")).alias("segment"))
+             F.array(F.struct("run", "pos")).alias("segment"), "node.row")
 
 
 def jump(pointers: DataFrame, depth: int, top: tuple[int, int, int]) -> DataFrame:
@@ -102,11 +106,11 @@ def jump(pointers: DataFrame, depth: int, top: tuple[int, int, int]) -> DataFram
         ours = pointers.filter(leaf) if last else pointers
         open_ = ours.filter(~root).withColumn("salt", salt)
         wanted = open_.select(*_UP, "salt").distinct()
-        near = pointers.select(*[F.col(a).alias(b) for a, b in zip(_NODE, _UP)], *[F.col(c).alias(f"far_{c}") for c in _UP],
+        near = pointers.filter(~leaf).select(*[F.col(a).alias(b) for a, b in zip(_NODE, _UP)], *[F.col(c).alias(f"far_{c}") for c in _UP],
                                F.col("segment").alias("far_segment"))
         near = near.join(wanted, list(_UP))
         jumped = open_.join(near, [*_UP, "salt"]).select(
-            *_NODE, *[F.col(f"far_{c}").alias(c) for c in _UP], F.concat("segment", "far_segment").alias("segment"))
+            *_NODE, *[F.col(f"far_{c}").alias(c) for c in _UP], F.concat("segment", "far_segment").alias("segment"), "row")
         pointers = staged(jumped.unionByName(ours.filter(root)), "pointers")
         distance *= 2
     return pointers.filter(leaf)
@@ -145,23 +149,24 @@ def manifest(docs: DataFrame) -> DataFrame:
     trees = staged(surrogate_id(numbered.groupBy("source").agg(F.min("at").alias("first"), F.count("*").alias("n")),
                                 ("source",), -1, "tree"), "trees")
     n_trees, most = trees.agg(F.count("*"), F.max("n")).first()
+    row = F.struct("doc_id", "leaf", "changed").alias("row")
     placed = staged(join_small(numbered, trees, ["source"], n_trees, F.col("at"))
-                    .select("doc_id", "leaf", "changed", "tree", (F.col("at") - F.col("first")).alias("idx"), "n"), "placed")
+                    .select("tree", (F.col("at") - F.col("first")).alias("idx"), F.col("leaf").alias("hash"), "n", row), "placed")
     height, top_height = _height(most or 0), _height(n_trees)
-    runs, subroots = build(placed.select("tree", "idx", F.col("leaf").alias("hash"), "n"), height)
+    runs, subroots = build(placed, height)
     subroots = staged(subroots, "subroots")
+    none = F.lit(None).cast(placed.schema["row"].dataType).alias("row")
     top_runs, roots = build(subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "hash",
-                                            F.lit(n_trees).cast("long").alias("n")), top_height)
+                                            F.lit(n_trees).cast("long").alias("n"), none), top_height)
     found = roots.first()
     root = F.lit(found["hash"] if found else None).cast("string")
     # A tree's root is a leaf of the top tree: a hop that passes no sibling.
     across = subroots.select(
         "tree", "level", F.lit(0).cast("long").alias("idx"), F.lit(TOP).cast("long").alias("up_tree"), F.lit(0).alias("up_level"),
-        F.col("tree").alias("up_idx"), F.array().cast("array<struct<run:string,pos:int>>").alias("segment"))
+        F.col("tree").alias("up_idx"), F.array().cast("array<struct<run:string,pos:int>>").alias("segment"), "row")
     pointers = staged(reduce(DataFrame.unionByName, [_hops(r) for r in [*runs, *top_runs]], across), "pointers")
-    done = jump(pointers, height + 1 + top_height, (TOP, top_height, 0))
-    ends = done.join(placed, ["tree", "idx"])
-    named = join_small(ends, subroots.select("tree", F.col("hash").alias("subroot")), ["tree"], n_trees, F.col("idx"))
+    done = jump(pointers, height + 1 + top_height, (TOP, top_height, 0)).select("tree", "idx", "segment", "row.*")
+    named = join_small(done, subroots.select("tree", F.col("hash").alias("subroot")), ["tree"], n_trees, F.col("idx"))
     back = folded(F.col("segment"), F.coalesce("changed", "leaf"))
     return named.select("doc_id", "leaf", "subroot", root.alias("root"), proof(F.col("segment")).alias("proof_sha256"),
                         back.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
