@@ -24,14 +24,34 @@ from aerolake.llm.common import query, table
 from aerolake.llm.packing import _slices
 
 RANKS = "byte_bpe_multi_50k.tiktoken"  # a name for public_tokenizers.path, or a path with a slash
-WORDS_AT_ONCE = 200_000  # words of texts that are looked up, and decoded, together
-MOST_WORDS = 500_000  # different words that a worker remembers
+WORDS_AT_ONCE = 250_000  # words of texts that are looked up, and decoded, together
+MERGED_AT_ONCE = 20_000  # words that one recursive query gets
+MOST_WORDS = 1_000_000  # different words that a worker remembers
+LONG_WORD = 64  # bytes
 LONG_TEXT = 1_000_000  # characters above which a text's words are taken piece by piece
 
-# The least rank of a word's neighbouring pairs is contracted: the leftmost such pair, and the
-# equal ones right of it (every other one of an overlapping run) where no pair with the new
-# token could have a smaller rank still ("again"), so that long repetitive words take few steps.
+# A word's leftmost pair of least rank is contracted; k is the word's number and, in the lower
+# half, the place of a token's first byte. A token that was merged into its neighbour is -1.
 MERGE = """
+WITH RECURSIVE token(k, id) USING KEY (k) AS (
+  SELECT k, id FROM start
+  UNION ALL
+  (WITH line AS (
+     SELECT k, id, lead(id) OVER place AS next_id, lead(k) OVER place AS next_k, lag(k) OVER place AS last_k
+     FROM token WHERE id >= 0 WINDOW place AS (ORDER BY k)),
+   least AS (
+     SELECT k >> 32 AS word, min((merged::BIGINT << 32) + (k & 4294967295)) AS pair
+     FROM line JOIN merges ON l = id AND r = next_id WHERE next_k >> 32 = k >> 32 GROUP BY 1),
+   chosen AS (SELECT word, (word << 32) + (pair & 4294967295) AS place, (pair >> 32)::INT AS merged FROM least)
+   SELECT k, CASE WHEN k = place THEN merged WHEN last_k = place THEN -1 ELSE id END
+   FROM line JOIN chosen ON word = k >> 32))
+SELECT (k >> 32)::INT AS word, list(id ORDER BY k) AS ids FROM token WHERE id >= 0 GROUP BY 1 ORDER BY 1
+"""
+
+# The same for long words, which else took a step per merge: the equal pairs right of the chosen
+# one (every other one of an overlapping run) are contracted with it, unless a pair with the new
+# token could have a smaller rank still ("again").
+MERGE_LONG = """
 WITH RECURSIVE token(k, id) USING KEY (k) AS (
   SELECT k, id FROM start
   UNION ALL
@@ -80,6 +100,14 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"l": l, "r": r, "merged": merged, "again": ~np.isin(merged, earlier)})
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Encoder:
     """Token ids of words, remembered, and bytes of ids, by a worker's own database."""
 
@@ -100,21 +128,21 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
+        self.numbers = _Numbers()
         self.decimals: list[str] = []  # of each word: its ids with commas
         self.ids = np.zeros(0, np.int32)
         self.starts = self.sizes = np.zeros(0, np.int64)
 
-    def split(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, of a long one some at a time."""
+    def split(self, text: str) -> Iterator[list[int]]:
+        """The numbers of a text's words, of a long text some at a time."""
         if len(text) <= LONG_TEXT:
-            yield self.pattern.findall(text)
+            yield list(map(self.numbers.__getitem__, self.pattern.findall(text)))
             return
         found = (m.group() for m in self.pattern.finditer(text))
         while some := list(itertools.islice(found, WORDS_AT_ONCE)):
-            yield some
+            yield list(map(self.numbers.__getitem__, some))
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
+    def merge(self, words: list[bytes], merge: str = MERGE) -> list[list[int]]:
         """The ids of each word, contracted pair by pair."""
         if not words:
             return []
@@ -123,36 +151,36 @@ class Encoder:
         place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
         start = pa.table({"k": (np.repeat(np.arange(len(words)), sizes) << 32) + place,  # noqa: F841
                           "id": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]})
-        return [ids for _, ids in self.db.execute(MERGE).fetchall()]
-
-    def learn(self, words: set[str]) -> None:
-        """Ids of words not met before. A word that is a token is that token."""
-        if len(self.numbers) > MOST_WORDS:
-            self.forget()
-        new = sorted(w for w in words if w not in self.numbers)
-        data = [w.encode() for w in new]
-        found = [[self.whole[d]] if d in self.whole else None for d in data]
-        open_ = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(open_, self.merge([data[i] for i in open_])):
-            found[i] = ids
-        sizes = np.array([len(ids) for ids in found], np.int64)
-        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
-        self.decimals += [",".join(map(str, ids)) for ids in found]
+        return [ids for _, ids in self.db.execute(merge).fetchall()]
+
+    def learn(self) -> None:
+        """Ids of the words that were numbered last. A word that is a token is that token."""
+        n = len(self.numbers) - len(self.decimals)
+        words = [w.encode() for w in itertools.islice(reversed(self.numbers), n)][::-1]
+        found: dict[bytes, list[int]] = {w: [self.whole[w]] for w in words if w in self.whole}
+        short = [w for w in words if w not in found and len(w) <= LONG_WORD]
+        long = [w for w in words if w not in found and len(w) > LONG_WORD]
+        for at in range(0, len(short), MERGED_AT_ONCE):
+            some = short[at:at + MERGED_AT_ONCE]
+            found.update(zip(some, self.merge(some)))
+        found.update(zip(long, self.merge(long, MERGE_LONG)))
+        ids = [found[w] for w in words]
+        sizes = np.array([len(i) for i in ids], np.int64)
+        self.decimals += [",".join(map(str, i)) for i in ids]
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(found), np.int32)])
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), np.int32)])
 
-    def encode(self, pieces: list[list[str]]) -> list[tuple[np.ndarray, str]]:
-        """The ids of each list of words, also as decimal text with commas."""
-        self.learn(set(itertools.chain.from_iterable(pieces)))
+    def encode(self, pieces: list[list[int]]) -> list[tuple[np.ndarray, str]]:
+        """The ids of each list of word numbers, also as decimal text with commas."""
+        self.learn()
         out = []
         for piece in pieces:
-            numbers = list(map(self.numbers.__getitem__, piece))
-            at = np.array(numbers, np.int64)
+            at = np.array(piece, np.int64)
             sizes = self.sizes[at]
             ends = np.cumsum(sizes)
             flat = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes - self.starts[at], sizes)
-            out.append((self.ids[flat], ",".join(map(self.decimals.__getitem__, numbers))))
+            out.append((self.ids[flat], ",".join(map(self.decimals.__getitem__, piece))))
         return out
 
     def decode(self, pieces: list[np.ndarray]) -> list[bytes]:
@@ -178,8 +206,9 @@ def encoder(name: str, pattern: str) -> Encoder:
     return _open[name, pattern]
 
 
-def _pieces(own: Encoder, texts: list[str | None]) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """Lists of words of the texts with the texts' places, some ``WORDS_AT_ONCE`` words at a time."""
+def _pieces(own: Encoder, texts: list[str | None]) -> Iterator[tuple[list[int], list[list[int]]]]:
+    """Lists of word numbers of the texts with the texts' places, some ``WORDS_AT_ONCE`` words
+    at a time. Numbers hold until the next are taken."""
     places, pieces, n = [], [], 0
     for i, text in enumerate(texts):
         for words in own.split(text or ""):
@@ -189,6 +218,8 @@ def _pieces(own: Encoder, texts: list[str | None]) -> Iterator[tuple[list[int],
             if n >= WORDS_AT_ONCE:
                 yield places, pieces
                 places, pieces, n = [], [], 0
+                if len(own.numbers) > MOST_WORDS:
+                    own.forget()
     yield places, pieces
 
 

@@ -20,7 +20,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def own():
-    return byte_pairs.encoder(byte_pairs.RANKS, public_tokenizers.PATTERN)
+    return byte_pairs.Encoder(byte_pairs.RANKS, public_tokenizers.PATTERN)
 
 
 def expected(library, rows):
@@ -69,7 +69,9 @@ def test_words_merge_as_one_pair_at_a_time(own):
     alphabets = [b"ab", b"aeioust ", b"the", "éàü你".encode(), bytes(range(256)), b"0", b"-=", b"xX"]
     words = [bytes(rng.choices(rng.choice(alphabets), k=rng.randint(1, 60))) for _ in range(3000)]
     words += [b"a" * n for n in range(1, 80)] + [b"=" * 1001, b" " * 777, b"ab" * 300]
-    assert own.merge(words) == [contracted(own.whole, w) for w in words]
+    expected_ids = [contracted(own.whole, w) for w in words]
+    assert own.merge(words) == expected_ids
+    assert own.merge(words, byte_pairs.MERGE_LONG) == expected_ids
 
 
 def test_inverted_vocabulary():
@@ -87,20 +89,23 @@ def test_inverted_vocabulary():
     own.byte_ids = __import__("numpy").arange(256, dtype="int32")
     rng = random.Random(5)
     words = [bytes(rng.choices(b"abcxy", k=rng.randint(1, 30))) for _ in range(2000)]
-    assert own.merge(words) == [contracted(ranks, w) for w in words]
+    expected_ids = [contracted(ranks, w) for w in words]
+    assert own.merge(words) == expected_ids
+    assert own.merge(words, byte_pairs.MERGE_LONG) == expected_ids
 
 
 def test_pieces_and_forgetting(spark, library, own, monkeypatch):
     rng = random.Random(9)
     text = " ".join(cases.sentence(rng, 40) + rng.choice([".", "\n\n  ", "!!", "\t"]) for _ in range(60))
     texts = [text, "", text[::-1], None, "tail"]
-    for name, value in (("LONG_TEXT", 100), ("WORDS_AT_ONCE", 57), ("MOST_WORDS", 90)):
+    for name, value in (("LONG_TEXT", 100), ("WORDS_AT_ONCE", 57), ("MOST_WORDS", 90), ("MERGED_AT_ONCE", 7), ("LONG_WORD", 5)):
         monkeypatch.setattr(byte_pairs, name, value)
     got = [[] for _ in texts]
     for places, pieces in byte_pairs._pieces(own, texts):
         encoded = own.encode(pieces)
         decoded = own.decode([ids for ids, _ in encoded])
-        for i, (ids, decimals), data, words in zip(places, encoded, decoded, pieces):
-            assert ",".join(map(str, ids)) == decimals and data == "".join(words).encode()
+        words = list(own.numbers)
+        for i, (ids, decimals), data, piece in zip(places, encoded, decoded, pieces):
+            assert ",".join(map(str, ids)) == decimals and data == "".join(words[n] for n in piece).encode()
             got[i] += ids.tolist()
     assert got == [library.encode_ordinary(t or "") for t in texts]
