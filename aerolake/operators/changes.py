@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.functions.documents import name_based_uuid
+from aerolake.operators import moves
 from aerolake.operators.contracts import CONTRACTS
 from aerolake.operators.skew import hot_keys, lookup_join
 from aerolake.session import shared_folder
@@ -269,10 +270,6 @@ ORIGINAL = -2  # the user that had the address before the batch
 # Ordinals per window partition; see state_before.
 SPAN = 1 << 16
 
-# Share of flipped moves below which a round looks only at their neighbours;
-# finding the neighbours costs about as much as looking at all moves.
-FEW_FLIPS = 0.001
-
 
 def _stage(df: DataFrame, purpose: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, purpose)
@@ -364,49 +361,16 @@ def _move_slots(timeline: DataFrame, initial: DataFrame, span: int) -> DataFrame
 
 
 def _settle_moves(timeline: DataFrame, initial: DataFrame, span: int) -> DataFrame:
-    """Which moves succeed (``ordinal, succeeds``).
-
-    A move needs its user and a free target, which earlier moves may decide. The
-    guess "all succeed" is recomputed from itself until nothing flips. Each round
-    settles at least the first wrong move, all before it being right, so the end
-    is the one-at-a-time result; the rounds needed are the length of the longest
-    chain of moves that overturn each other. Once few moves flip, only those that
-    share a slot with a flipped one are looked at again.
-    """
+    """Which moves succeed (``ordinal, succeeds``): see ``operators/moves.py``."""
     real = timeline.filter(~F.col("rejected"))
     if real.filter("moves").isEmpty():
         return real.limit(0).select("ordinal", F.lit(True).alias("succeeds"))
-    slots = _stage(_move_slots(real, initial, span), "move-slots")
-    verdicts = slots.filter(F.col("side") == "from").select(
-        "ordinal", F.lit(True).alias("succeeds"))
-    slot = ["key", "since"]
-    few = verdicts.count() * FEW_FLIPS
-    scope, looked_at = slots, None
-    succeeds = (F.col("here") != VACANT) & (F.col("there") == VACANT)
-    while True:
-        marked = scope.join(verdicts, "ordinal").withColumn(
-            "state", F.when(F.col("succeeds"), _moved_to()))
-        stated = state_before(marked, tuple(slot), span)
-        fresh = _by_request(stated, F.max("succeeds").alias("was"))
-        if looked_at is not None:
-            fresh = fresh.join(looked_at, "ordinal", "left_semi")
-        flips = _stage(
-            fresh.select("ordinal", "was", succeeds.alias("now")).filter("was <> now"), "flips")
-        flipped_moves = flips.count()
-        if not flipped_moves:
-            return verdicts
-        verdicts = _stage(
-            verdicts.join(flips.select("ordinal", "now"), "ordinal", "left").select(
-                "ordinal", F.coalesce("now", "succeeds").alias("succeeds")),
-            "verdicts",
-        )
-        if flipped_moves > few:
-            scope, looked_at = slots, None
-            continue
-        flipped = slots.join(flips, "ordinal", "left_semi").select(*slot).distinct()
-        looked_at = slots.join(flipped, slot, "left_semi").select("ordinal").distinct()
-        needed = slots.join(looked_at, "ordinal", "left_semi").select(*slot).distinct()
-        scope = slots.join(needed, slot, "left_semi")
+    side = F.when(F.col("side") == "to", moves.TO).otherwise(moves.FROM)
+    slots = _move_slots(real, initial, span).withColumn("side", side)
+    events = state_before(slots.withColumn("state", moves.wire(F.col("ordinal"), F.col("side"))), ("key", "since"), span)
+    taken = F.col("before") == ORIGINAL
+    return _stage(moves.verdicts(events.select(
+        "ordinal", "side", taken.alias("taken"), F.when(F.col("before") >= 0, F.col("before")).alias("last"))), "verdicts")
 
 
 def _identities(ok: DataFrame, initial: DataFrame, span: int) -> DataFrame:

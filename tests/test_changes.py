@@ -13,9 +13,7 @@ from aerolake.operators import changes, skew
 
 @pytest.fixture(autouse=True, params=["hot", "plain"])
 def hot_path(request, monkeypatch):
-    """Every test with hot keys split off and rounds over neighbours only, and
-    with plain joins and full rounds."""
-    monkeypatch.setattr(changes, "FEW_FLIPS", 1.0 if request.param == "hot" else 0.0)
+    """Every test with hot keys split off, and with plain joins."""
     if request.param == "hot":
         monkeypatch.setattr(skew, "HOT_ROWS", 10)
         monkeypatch.setattr(skew, "LOOK_AT", 1.0)
