@@ -141,13 +141,14 @@ def weather_document(flat: DataFrame) -> DataFrame:
 def latest_per_place(rows: DataFrame, place: str, ordinal: str) -> DataFrame:
     """One row per place, the last by ordinal (unique within the batch).
 
-    The last ordinals are found on two narrow columns by hash, so a place with a third
-    of all rows is one pair per task when it is shuffled; the rows are then met by
-    place and ordinal, which is unique on both sides, and no task sorts documents to aggregate.
+    One aggregation, merged before the only shuffle: a place with a third of all rows is
+    one row per task there, and documents that are not the last of their task never move.
+    (Finding the last ordinals first and joining them back took 1.5 to 1.9 times as long,
+    on 1500 places and on 500, with broadcasts and without.)
     """
-    last = rows.groupBy(F.col(place).alias("_place")).agg(F.max(ordinal).alias("_last"))
-    same = F.col(place).eqNullSafe(F.col("_place")) & (F.col(ordinal) == F.col("_last"))
-    return rows.join(last, same, "left_semi")
+    rest = [c for c in rows.columns if c != place]
+    last = rows.groupBy(place).agg(F.max_by(F.struct(*rest), ordinal).alias("_last")).filter("_last IS NOT NULL")
+    return last.select(*[F.col(c) if c == place else F.col("_last")[c].alias(c) for c in rows.columns])
 
 
 def dict_to_rows(df: DataFrame, column: str = "data") -> DataFrame:

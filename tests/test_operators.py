@@ -286,8 +286,12 @@ def test_plans(spark, folder):
     assert counted.count("FileScan") == 1 and "Expand" not in counted
     assert "email" not in counted.split("ReadSchema")[1]
     events = users.selectExpr("id AS nome", "1 AS ordinal", "email AS doc")
-    last = plan(reshape.latest_per_place(events, "nome", "ordinal"))
-    assert last.count("Exchange") == 1 and "Window" not in last
+    for threshold in ("10485760", "-1"):  # small and large tables
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        last = plan(reshape.latest_per_place(events, "nome", "ordinal"))
+        assert last.count("Exchange") == 1 and last.count("FileScan") == 1
+        assert "partial_max_by" in last.split("Exchange")[1] and "Window" not in last and "Join" not in last
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     ids = numbering.surrogate_id(users.select("email"), ("email",))
     window = plan(ids).split("Window [")[1]
     assert "email" not in window.split("FileScan")[0].split("HashAggregate")[0]
