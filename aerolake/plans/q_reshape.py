@@ -11,7 +11,7 @@ from aerolake.functions import casts, documents
 from aerolake.operators import contracts, reshape
 from aerolake.plans import bindings as b
 from aerolake.plans.registry import query
-from aerolake.sources import api, landed, places, synthetic
+from aerolake.sources import api, landed, places, polling, synthetic
 from aerolake.session import shared_folder
 
 
@@ -463,3 +463,19 @@ def city_local_time(spark, sf):
         F.lit('{"dt":'), (F.lit(1700000000) + F.col("event_id")).cast("string"),
         F.lit(',"timezone":-10800,' + _ODD_MEMBERS + "}")).alias("body"))
     return reshape.city_local_time(rows).select("event_id", "dt", "body")
+
+
+@query("polled_weather_source", f"""
+WITH {b.PLACES_SQL}
+SELECT nome, latitude, longitude, 200 AS status, CAST(latitude AS VARCHAR) AS lat, hour
+FROM places, (VALUES ('2025-06-01 07:00:00'), ('2025-06-01 09:00:00')) AS h(hour)""")
+def polled_weather_source(spark, sf):
+    """Started at 7:10, 7:50, 9:00 and 9:59: two hours are polled, once each."""
+    folder = shared_folder(spark, "polled")
+    columns = polling.land_requests(places.weather_requests(b.places(spark, sf)), f"{folder}/requests")
+    for minutes in (430, 470, 540, 599):
+        polling.poll(spark, folder.rsplit("/", 1)[-1], f"{folder}/requests", columns, echo, f"{folder}/answers",
+                     f"{folder}/checkpoint", lambda at=minutes: 1748736000 + 60 * at).awaitTermination()
+    hour = F.date_format(F.to_utc_timestamp("polled", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+    return spark.read.schema(columns).parquet(f"{folder}/answers").select(
+        "nome", "latitude", "longitude", "status", _echoed("params.lat"), hour.alias("hour"))
