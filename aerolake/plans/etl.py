@@ -34,11 +34,17 @@ def air_quality_documents(responses: DataFrame) -> DataFrame:
 
 
 def air_quality_etl(spark: SparkSession, places: DataFrame, weather_fetcher: Fetcher,
-                    air_fetcher: Fetcher, prefix: str = "", parallelism: int | None = None) -> None:
+                    air_fetcher: Fetcher, prefix: str = "", parallelism: int | None = None,
+                    run: str | None = None) -> bool:
     """Places to bronze and silver, weather first. ``places`` carries ``ordinal``: of two
     places with one name the later counts. A failed air-quality response stops the
     job before anything is written; a document that silver refuses reaches neither
-    table and is kept, with its problems, beside bronze."""
+    table and is kept, with its problems, beside bronze. All outputs become visible by one
+    commit of the name ``run`` (the scheduler's hour); a run that is started again after its
+    commit only finishes it. False when there was nothing left to do."""
+    home = prefix + tables.WEATHER_BRONZE
+    if run is not None and tables.landed_before(spark, home, run):
+        return False
     numbered = places.select("nome", "latitude", "longitude", "ordinal")
 
     def responses(build, fetcher, purpose):
@@ -54,8 +60,8 @@ def air_quality_etl(spark: SparkSession, places: DataFrame, weather_fetcher: Fet
             (air_quality_documents(air), silver_air_quality, tables.AIR_BRONZE, tables.AIR_SILVER),
         )
     ]
-    for rows, build, bronze, filled in ready:
-        tables.land_pair(spark, rows, build, bronze, filled)
+    outputs = [o for rows, build, bronze, filled in ready for o in tables.pair_outputs(spark, rows, build, bronze, filled)]
+    return tables.land(spark, outputs, home, run)
 
 
 def prediction_etl(spark: SparkSession, cities: DataFrame, fetcher: Fetcher) -> DataFrame:

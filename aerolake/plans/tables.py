@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aerolake import model
 from aerolake.operators.numbering import surrogate_id
+from aerolake.plans.commits import Folder, Output, commit, finish, reserve_ids
 from aerolake.session import shared_folder
 
 SCHEMAS = ("bronze", "silver", "gold", "dev")
@@ -59,15 +60,13 @@ def default_created_at(df: DataFrame, now: Column | None = None,
     return df.withColumn(column, F.coalesce(given, stamp))
 
 
-def last_id(spark: SparkSession, table: str, column: str = "id") -> int:
-    return spark.table(table).agg(F.max(column)).head()[0] or 0
-
-
 def bronze_rows(spark: SparkSession, documents: DataFrame, table: str,
                 order_by: tuple[str, ...] = ()) -> DataFrame:
-    """``data`` rows with the next free ids of the table. They are computed and
-    stored by this call; what cannot become a document fails here."""
-    return surrogate_id(documents, order_by, last_id(spark, table)).select("id", "data")
+    """``data`` rows with a block of the table's next free ids, which no other writer gets.
+    They are computed and stored by this call; what cannot become a document fails here."""
+    rows = surrogate_id(documents, order_by)
+    before = reserve_ids(spark, table, location_of(spark, table), rows.count())
+    return rows.select((F.col("id") + before).alias("id"), "data")
 
 
 def bronze_append(spark: SparkSession, documents: DataFrame, table: str,
@@ -111,21 +110,36 @@ def quarantine_of(spark: SparkSession, bronze: str) -> str:
     return location_of(spark, bronze) + "_quarantine"
 
 
-def land_pair(spark: SparkSession, rows: DataFrame, build: Callable[..., DataFrame], bronze: str,
-              silver: str) -> None:
+def pair_outputs(spark: SparkSession, rows: DataFrame, build: Callable[..., DataFrame], bronze: str,
+                 silver: str) -> list[Output]:
     """Accept or refuse each ``id, data`` row for both tables.
 
-    Every document is flattened first, and the result stored once. Good ones go to
-    the bronze and the silver table, refused ones with their problems beside bronze.
+    Every document is flattened first, and the result stored once. Good ones are for
+    the bronze and the silver table, refused ones with their problems for a place beside bronze.
     """
     folder = shared_folder(spark, "checked")
     build(rows, keep=("id",), mode="checked").write.parquet(folder)
     checked = spark.read.parquet(folder)
     good, bad = checked.filter("problems = ''"), checked.filter("problems != ''")
-    bad.select("id", "data", "problems").write.mode("append").parquet(quarantine_of(spark, bronze))
-    good.select("id", "data").write.insertInto(bronze)
     stamped = default_created_at(good.drop("data", "problems"))
-    stamped.select(*spark.table(silver).columns).write.insertInto(silver)
+    return [
+        Output(bad.select("id", "data", "problems"), quarantine_of(spark, bronze)),
+        Output(good.select("id", "data"), location_of(spark, bronze), bronze),
+        Output(stamped, location_of(spark, silver), silver),
+    ]
+
+
+def land(spark: SparkSession, outputs: list[Output], home: str, run: str | None = None) -> bool:
+    """All outputs or none, see ``commits.commit``. ``home`` is the bronze table whose folder
+    holds the commits. A run without a name is a new one each time."""
+    return commit(spark, location_of(spark, home), run or uuid.uuid4().hex, outputs)
+
+
+def landed_before(spark: SparkSession, home: str, run: str) -> bool:
+    """Whether a run was committed; what it left unfinished is moved now."""
+    folder = location_of(spark, home)
+    finish(spark, folder)
+    return f"{run}.done" in Folder(spark, f"{folder}/_commits").names()
 
 
 def replace_rows(spark: SparkSession, table: str, rows: DataFrame) -> None:
