@@ -24,7 +24,8 @@ from aerolake.llm.feistel import permute
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": r"""(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])
-        |(?i:\b(?:token|password|passwd|secret|api[_-]?key)\b["']?\s{0,3}[=:]\s{0,3}["']?)(?P<hex>[0-9a-f]{12,128}|[0-9A-F]{12,128})(?![0-9A-Za-z])""",
+        |(?<![A-Za-z0-9])sk_(?:live|test)_[0-9A-Za-z]{16,}
+        |(?i:(?<![A-Za-z0-9])(?:token|password|passwd|secret|api[_-]?key)\b["']?\s{0,3}[=:]\s{0,3}["']?)(?P<hex>[0-9A-Za-z][0-9A-Za-z_-]{11,})""",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "date": r"""(?<![\w/.-])(?:\d{4}(?P<ymd>[/-])\d{1,2}(?P=ymd)\d{1,2}(?=T(?:[01]\d|2[0-4]):?[0-5]\d)
@@ -61,9 +62,12 @@ PRINTED = re.compile(r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4})+(?: [A-Z0-9]{1,3})?", re.A)
 CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
 CARD_DIGITS = (16, 15, 14, 13, 19, 18, 17)  # of other groups, in this order
 # A text without any of these has nothing to find.
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|AKIA|sk_|(?i:token|passw|secret|api[_-]?key)")
+# Dates of these years stay among themselves, and so do all others.
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1), dt.date(2099, 12, 31)
 DAYS = (LAST_DAY - FIRST_DAY).days + 1
+OTHER_DAYS = (dt.date.max - dt.date.min).days + 1 - DAYS
+PIECE = 128  # characters of a secret that are permuted together
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 HEX = "0123456789abcdef"
 KINDS = ("email", "secret", "iban", "ip", "date", "ssn", "card", "phone")
@@ -118,9 +122,36 @@ def _email(value: str, key: bytes, back: bool) -> str | None:
 
 
 def _secret(value: str, key: bytes, back: bool) -> str | None:
+    """Keys of fixed prefixes; behind a name, hexadecimal digits of one case, or letters and
+    digits. Each stays what it is, so it can be turned back."""
     if value.startswith("AKIA") and len(value) == 20:
         return "AKIA" + _classes(value[4:], key, b"akia", back, DIGITS + UPPER)
-    return _classes(value, key, b"hex", back, HEX if value == value.lower() else HEX.upper())
+    if re.match("sk_(?:live|test)_", value):
+        return value[:8] + _pieces(value[8:], key, b"sk", back, None, None)
+    for alphabet in (HEX, HEX.upper()):
+        if set(value) <= set(alphabet):
+            # Digits alone count as lower case, so upper case must keep a letter in every piece that has one.
+            lettered = (lambda text, was: was.isdigit() == text.isdigit()) if alphabet != HEX else None
+            return _pieces(value, key, b"hex", back, alphabet, lettered)
+    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+        return None
+    plain = "".join(c for c in value if c.isalnum())
+    mixed = lambda text, _: not (set(text) <= set(HEX) or set(text) <= set(HEX.upper()))
+    # With a sign in it, or a letter that is no hexadecimal digit, it is never read as hexadecimal.
+    free = len(plain) < len(value) or len(plain) > PIECE
+    return _refill(value, _pieces(plain, key, b"word", back, None, None if free else mixed))
+
+
+def _pieces(chars: str, key: bytes, tweak: bytes, back: bool, alphabet: str | None,
+            valid: Callable[[str, str], bool] | None) -> str:
+    """``_classes`` of a value of any length, some characters at a time. ``valid`` sees a piece
+    and what it was."""
+    out = []
+    for at in range(0, len(chars), PIECE):
+        was = chars[at:at + PIECE]
+        number = tweak + (b":%d" % at if at else b"")
+        out.append(_classes(was, key, number, back, alphabet, valid and (lambda text, was=was: valid(text, was))))
+    return "".join(out)
 
 
 def _blanks(value: str) -> list[str]:
@@ -164,15 +195,23 @@ def _date(value: str, key: bytes, back: bool) -> str | None:
     parts = value.split(sep)
     wide = tuple(len(p) for p in parts)
 
-    def day(y: str, m: str, d: str) -> int | None:
+    before = (FIRST_DAY - dt.date.min).days
+
+    def day(y: str, m: str, d: str) -> tuple[bool, int] | None:
+        """Whether the date is of the usual years, and its number among those or the others."""
         try:
             found = dt.date(int(y), int(m), int(d))
         except ValueError:
             return None
-        return (found - FIRST_DAY).days if FIRST_DAY <= found <= LAST_DAY else None
+        if FIRST_DAY <= found <= LAST_DAY:
+            return True, (found - FIRST_DAY).days
+        number = (found - dt.date.min).days
+        return False, number if number < before else number - DAYS
 
     def at(number: int) -> dt.date:
-        return FIRST_DAY + dt.timedelta(number)
+        if usual:
+            return FIRST_DAY + dt.timedelta(number)
+        return dt.date.min + dt.timedelta(number if number < before else number + DAYS)
 
     padded = [len(p) == 2 and p[0] == "0" for p in parts]
     pad = 2 if any(padded) or all(w in (2, 4) for w in wide) else 1
@@ -184,6 +223,7 @@ def _date(value: str, key: bytes, back: bool) -> str | None:
             x, order = day(parts[2], parts[0], parts[1]), "mdy"
     if x is None:
         return None
+    usual, x = x
     # Month first is read only where day first fails, and must stay so; a form without
     # leading zeros keeps its numbers of digits.
     digits = (len(str(at(x).day)), len(str(at(x).month))) if pad == 1 else None
@@ -193,8 +233,8 @@ def _date(value: str, key: bytes, back: bool) -> str | None:
         return (order != "mdy" or found.day > 12) and (
             digits is None or digits == (len(str(found.day)), len(str(found.month))))
 
-    form = f"date:{order}{sep}{digits}".encode()
-    out = at(permute(x, DAYS, key, form, ok, back))
+    form = f"date:{order}{sep}{digits}{'' if usual else ':other'}".encode()
+    out = at(permute(x, DAYS if usual else OTHER_DAYS, key, form, ok, back))
     fields = {"y": f"{out.year:04d}", "m": f"{out.month:0{pad}d}", "d": f"{out.day:0{pad}d}"}
     return sep.join(fields[c] for c in order)
 
