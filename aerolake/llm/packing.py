@@ -31,7 +31,7 @@ DIMENSIONS, KEY_BITS = 4, 15
 BUCKETS = 1 << 14  # hashed word vector
 SPREAD = 6.0  # stretches the mean projection before it is cut into cells
 TOKENS_A_TASK = 4_000_000
-MOST_WORDS = 400_000  # words that a worker remembers
+MOST_WORDS = 500_000  # words that a worker remembers
 
 _open: dict[str, "WordTokens"] = {}
 _JOINED = 200  # words that one call of the tokenizer gets
@@ -66,6 +66,12 @@ class WordTokens:
         self.axes = np.random.default_rng(17).standard_normal((BUCKETS, DIMENSIONS))
         upper, lower = self.whole(["Aa BCD", "aa bcd"])
         self.folds = upper.tolist() == lower.tolist()
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if mark:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
         self.at = _Numbers()
         self.ids = np.zeros(0, np.uint32)
         self.starts = self.sizes = self.seen = np.zeros(0, np.int64)
@@ -76,22 +82,41 @@ class WordTokens:
 
     def learn(self, words: list[bytes]) -> None:
         """Tokens and places of words that were numbered last."""
-        texts = [w.decode() for w in words]
-        ids, sizes = [self.ids], np.zeros(len(words), np.int64)
-        for at in range(0, len(texts), _JOINED):
-            part = texts[at:at + _JOINED]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids.append(np.array(found.ids, np.uint32))
-            begins = np.cumsum([0] + [len(t) + 1 for t in part[:-1]])
-            owner = np.searchsorted(begins, [a for a, _ in found.offsets], side="right") - 1
-            sizes[at:at + len(part)] = np.bincount(owner, minlength=len(part))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        sizes = np.zeros(len(words), np.int64)
+        plain = np.array([w.isalpha() for w in words], bool)
+        found: list[np.ndarray] = []
+        for rows, split in ((np.flatnonzero(plain), self.by_ends), (np.flatnonzero(~plain), self.by_offsets)):
+            for at in range(0, len(rows), _JOINED):
+                part = rows[at:at + _JOINED]
+                ids, sizes[part] = split([words[i].decode() for i in part.tolist()])
+                found.append(ids)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        starts = np.zeros(len(words), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.starts = np.concatenate([self.starts, starts])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate(ids)
+        self.ids = np.concatenate([self.ids, *found])
         buckets = [xxhash.xxh32_intdigest(w) % BUCKETS for w in words]
         self.places = np.concatenate([self.places, self.axes[buckets]])
         self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int64)])
 
+    def by_offsets(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words joined by blanks, and how many are whose."""
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        begins = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        owner = np.searchsorted(begins, [a for a, _ in found.offsets], side="right") - 1
+        return np.array(found.ids, np.uint32), np.bincount(owner, minlength=len(texts))
+
+    def by_ends(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters only, by the mark of their last token; offsets take time."""
+        if self.ends is None:
+            return self.by_offsets(texts)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(texts) or last[-1] != len(ids) - 1:
+            return self.by_offsets(texts)
+        return ids, np.diff(last, prepend=-1)
+
     def trim(self) -> None:
         keep = np.sort(np.argsort(-self.seen, kind="stable")[:MOST_WORDS // 2])
         keep = keep[self.seen[keep] > 1]
@@ -119,7 +144,11 @@ class WordTokens:
         ids = self.ids[_runs(self.starts[flat], self.sizes[flat])]
         upto = np.append(0, np.cumsum(self.sizes[flat]))[np.append(0, np.cumsum(lengths))]
         out = [ids[a:b] for a, b in zip(upto, upto[1:])]
-        middle = np.array([self.places[r].mean(0) if len(r) else np.zeros(DIMENSIONS) for r in rows]).reshape(-1, DIMENSIONS)
+        middle = np.zeros((len(rows), DIMENSIONS))
+        some = np.flatnonzero(lengths)
+        if len(some):
+            begins = (np.cumsum(lengths) - lengths)[some]
+            middle[some] = np.add.reduceat(self.places[flat], begins) / lengths[some, None]
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self.whole([text])[0]
