@@ -10,6 +10,8 @@ of near copies costs about one comparison per copy and band, and no bucket is cu
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -17,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.llm import darts
-from aerolake.llm.common import SMALL_ROWS, query, staged, table
+from aerolake.llm.common import query, staged, table
 from aerolake.llm.graphs import components
 from aerolake.llm.packing import _slices
+from aerolake.session import shared_folder
 
 THRESHOLD = 0.8
 PAIR_BUCKET = 32  # buckets up to this size compare all pairs by a self-join, larger ones tile by tile
@@ -71,25 +74,36 @@ def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left == right).sum(1))
 
 
-def _texts(keys: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """``key, text`` of the distinct ``keys``; a counted small number of them is broadcast to the texts."""
-    wanted = staged(keys.join(nodes.select("key", "doc_id"), "key").select("key", F.col("doc_id").alias("_doc_id")),
-                    "wanted")
-    if wanted.count() <= SMALL_ROWS:
-        wanted = F.broadcast(wanted)
-    found = docs.select("doc_id", "text", text_key(F.col("text")).alias("_key"))
-    return (found.join(wanted, (F.col("_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
-            .select("key", "text").dropDuplicates(["key"]))
-
+def text_table(hits: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``key, text`` of all nodes that share a band with another, in buckets by key.
 
-def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs ``a, b`` whose exact similarity reaches ``threshold``, with ``similarity``."""
+    The texts are dealt out once, by key and id, so that copies of one text spread; only one
+    of each key is kept. Whoever needs texts of some keys later meets them where they
+    lie. It is done alike at every size: the keys are never broadcast.
+    """
+    spark = docs.sparkSession
+    wanted = hits.select("key").distinct().join(nodes.select("key", "doc_id"), "key").select("key", F.col("doc_id").alias("_doc_id"))
+    found = docs.select("doc_id", "text", text_key(F.col("text")).alias("_key"))
+    met = (found.hint("merge").join(wanted, (F.col("_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")))
+           .select("key", "text"))
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    name = f"aerolake_texts_{uuid.uuid4().hex}"
+    (met.repartition(buckets, "key").dropDuplicates(["key"])
+     .write.option("compression", "zstd").option("path", shared_folder(spark, "texts"))
+     .bucketBy(buckets, "key").sortBy("key").saveAsTable(name))
+    stored = spark.table(name)
+    stored.schema  # noqa: B018  resolves the files before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs ``a, b`` whose exact similarity reaches ``threshold``, with ``similarity``.
+    ``texts``: see ``text_table``."""
     agreeing = F.pandas_udf(_agreeing, "long")
     code = lambda c: nodes.select(F.col("key").alias(c), F.col("code").alias(f"{c}_code"))
     near = staged(pairs.distinct().join(code("a"), "a").join(code("b"), "b")
                   .filter(agreeing("a_code", "b_code") >= _least(darts.COORDINATES, threshold)).select("a", "b"), "pairs")
-    wanted = near.select(F.col("a").alias("key")).unionByName(near.select(F.col("b").alias("key"))).distinct()
-    texts = staged(_texts(wanted, nodes, docs), "texts")
 
     def compare(batches):
         for whole in batches:
@@ -117,8 +131,7 @@ def _star_pairs(hits: DataFrame) -> DataFrame:
             .filter("key != center").select(*_ordered("key", "center")).distinct())
 
 
-def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame,
-                 threshold: float) -> DataFrame:
+def _cross_pairs(hits: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one bucket whose nodes are in different classes.
 
     Large buckets mostly hold copies of one text, over and over in many bands. Those with
@@ -150,7 +163,7 @@ def _cross_pairs(hits: DataFrame, nodes: DataFrame, roots: DataFrame, docs: Data
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key"), pa.array([c.tobytes() for c in code], pa.binary())], names=["key", "code"])
 
-    fine = staged(_texts(members.select("key").distinct(), nodes, docs).mapInArrow(sign, "key binary, code binary"), "fine")
+    fine = staged(members.select("key").distinct().join(texts, "key").mapInArrow(sign, "key binary, code binary"), "fine")
     # A large family is cut into parts, and each pair of parts is a tile of its own.
     sizes = members.groupBy("family").agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / TILE).cast("int")
@@ -194,9 +207,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     banded = nodes.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     hits = staged(banded.join(shared, "band"), "hits")
-    first = links(_star_pairs(hits), nodes, docs, threshold)
+    texts = text_table(hits, nodes, docs)
+    first = links(_star_pairs(hits), nodes, texts, threshold)
     roots = components(first.select("a", "b"))
-    second = links(_cross_pairs(hits, nodes, roots, docs, threshold), nodes, docs, threshold)
+    second = links(_cross_pairs(hits, texts, roots, threshold), nodes, texts, threshold)
     if second.limit(1).count():
         roots = components(first.unionByName(second).select("a", "b"))
     placed = (nodes.select("key", "doc_id", "copies").join(roots.withColumnRenamed("node", "key"), "key", "left")
