@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,11 @@ from aerolake.plans import q_users  # noqa: F401  the SQL twins
 from aerolake.plans.registry import ORACLES, query
 from aerolake.session import shared_folder
 from aerolake.streaming import changes as keyed
+from aerolake.streaming import stats as kept
 
 
-def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame) -> DataFrame:
+def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame,
+                after_each: Callable[[str], None] | None = None) -> DataFrame:
     """The change feed of the requests: the earlier half first, the later half after a restart."""
     folder = shared_folder(spark, "keyed-changes")
     half = (requests.agg(F.max("ordinal")).first()[0] or 0) // 2
@@ -21,6 +25,8 @@ def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame) -> D
             "append").parquet(f"{folder}/requests")
         keyed.stream_changes(spark, users, f"{folder}/requests", f"{folder}/feed", f"{folder}/checkpoint",
                              folder.rsplit("/", 1)[-1], b.now()).awaitTermination()
+        if after_each:
+            after_each(f"{folder}/feed")
     return spark.read.schema(keyed.FEED).parquet(f"{folder}/feed")
 
 
@@ -34,3 +40,23 @@ def stream_partial_update(spark, sf):
 def stream_insert_if_absent(spark, sf):
     users = b.users(spark, sf)
     return keyed.users_after(users, in_two_runs(spark, users, b.insert_requests(spark, sf)))
+
+
+@query("stats_kept", f"""
+WITH users_after AS ({ORACLES["insert_if_absent"]})
+SELECT CASE grouping_id(role, signatureStatus, notifications)
+         WHEN 3 THEN 'role' WHEN 5 THEN 'status' WHEN 6 THEN 'notifications' ELSE 'total' END AS breakdown,
+       CASE grouping_id(role, signatureStatus, notifications)
+         WHEN 3 THEN role WHEN 5 THEN signatureStatus WHEN 6 THEN notifications END AS value,
+       count(id) AS n
+FROM users_after GROUP BY GROUPING SETS ((role), (signatureStatus), (notifications), ())""")
+def stats_kept(spark, sf):
+    """Statistics after two runs of changes, from the feed alone."""
+    users, counts = b.users(spark, sf), shared_folder(spark, "counts")
+    kept.start_counts(users, counts)
+
+    def bring_up(feed: str) -> None:
+        kept.keep_counts(spark, feed, counts, f"{counts}-checkpoint", counts.rsplit("/", 1)[-1]).awaitTermination()
+
+    in_two_runs(spark, users, b.insert_requests(spark, sf), bring_up)
+    return kept.current_stats(spark, counts)

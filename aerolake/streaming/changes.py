@@ -4,7 +4,7 @@ The state of an e-mail is its user row, kept by RocksDB below the checkpoint, so
 request costs what it touches and not a pass over all users. What can be told from a
 request alone (its contract, its known fields, the id a new user would get) is computed
 by Spark before; the stateful operator only follows the rows of one address. The output is a
-change feed: an outcome per request and, per address and batch, the user as it then is.
+change feed: an outcome per request and, per address and batch, the user as it then is and was.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 REQUESTS = "ordinal bigint, op string, email string, changes map<string,string>"
 USER = ("id string, name string, email string, password string, signatureStatus string, phone_number string, "
         "role string, notifications string, created_at timestamp_ntz, updated_at timestamp_ntz")
-FEED = f"kind string, email string, ordinal bigint, op string, outcome string, user struct<{USER}>"
+FEED = f"kind string, email string, ordinal bigint, op string, outcome string, user struct<{USER}>, before struct<{USER}>"
 
 
 def ready_requests(requests: DataFrame, now: Column, salt: str = "user") -> DataFrame:
@@ -84,14 +84,14 @@ class KeyedChanges(StatefulProcessor):
         for r in sorted(rows, key=lambda r: r["ordinal"]):
             outcome, user = after_request(user, r)
             last = r["ordinal"]
-            yield Row(kind="request", email=r["email"], ordinal=last, op=r["op"], outcome=outcome, user=None)
+            yield Row(kind="request", email=r["email"], ordinal=last, op=r["op"], outcome=outcome, user=None, before=None)
         if user != before:
             if user:
                 self.state.update(tuple(user[c] for c in model.USER_COLUMNS))
             else:
                 self.state.clear()
-            now = Row(*model.USER_COLUMNS)(*[user[c] for c in model.USER_COLUMNS]) if user else None
-            yield Row(kind="user", email=key[0], ordinal=last, op=None, outcome=None, user=now)
+            then, now = (Row(*model.USER_COLUMNS)(*[u[c] for c in model.USER_COLUMNS]) if u else None for u in (before, user))
+            yield Row(kind="user", email=key[0], ordinal=last, op=None, outcome=None, user=now, before=then)
 
     def close(self) -> None:
         pass

@@ -1,12 +1,14 @@
 """Keyed changes as a stream against the batch operators and the one-at-a-time loop."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from aerolake.operators import changes
+from aerolake.operators import changes, stats
 from aerolake.streaming import changes as keyed
+from aerolake.streaming import stats as kept
 from test_changes import EMAILS, NOW, REQUESTS, random_requests, serial, shown, user, users_df
 
 
@@ -70,3 +72,28 @@ def test_nothing_new_changes_nothing(spark, folder):
     feed = run(spark, folder, users, [requests, requests[:0]])
     assert {r.ordinal: r.outcome for r in keyed.request_outcomes(feed).collect()} == {0: "ok", 1: "rejected", 2: "not_found"}
     assert keyed.users_after(users, feed).collect() == []
+
+
+def test_counts_follow_the_feed(spark, folder):
+    """After every restart the kept statistics are those of a recount; a repeated batch counts once."""
+    rng = random.Random(6)
+    users = users_df(spark, [user(e, role=rng.choice(["admin", "user", None])) for e in EMAILS[:8]])
+    requests = random_requests(rng, 90, ["insert", "delete", "update"], EMAILS)
+    counts = f"{folder}/counts"
+    kept.start_counts(users, counts)
+    recount = lambda rows: sorted(map(repr, stats.user_stats(rows).collect()))
+    assert sorted(map(repr, kept.current_stats(spark, counts).collect())) == recount(users)
+    for i, part in enumerate((requests[:30], requests[30:31], requests[31:])):
+        feed = run(spark, folder, users, [part])
+        for _ in range(2):  # the second finds nothing new
+            kept.keep_counts(spark, f"{folder}/feed", counts, f"{folder}/counts-checkpoint", f"counts{i}").awaitTermination()
+        assert sorted(map(repr, kept.current_stats(spark, counts).collect())) == recount(keyed.users_after(users, feed))
+    os.unlink(f"{counts}/v=3/_SUCCESS")  # a batch that was not finished is not shown
+    assert sorted(map(repr, kept.current_stats(spark, counts).collect())) != recount(keyed.users_after(users, feed))
+
+
+def test_all_users_gone(spark):
+    before = spark.createDataFrame([("admin", None, "no", 3)], "role string, signatureStatus string, notifications string, c long")
+    gone = spark.createDataFrame([("admin", None, "no", -3)], before.schema)
+    left = stats.merged_combinations(before, gone)
+    assert left.collect() == [] and [(r.breakdown, r.n) for r in stats.stats_of(left).collect()] == [("total", 0)]
