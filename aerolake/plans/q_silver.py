@@ -80,6 +80,23 @@ def stream_silver_air_quality(spark, sf):
     return spark.read.parquet(target).drop("created_at")
 
 
+@query("stream_silver_rerun", f"""
+WITH {b.MEASURES_SQL}, firsts AS (
+  SELECT place AS regiao, l_shipdate AS data_medicao, min(l_orderkey) AS id FROM measures GROUP BY place, l_shipdate)
+SELECT regiao, data_medicao, id FROM firsts""")
+def stream_silver_rerun(spark, sf):
+    """Documents of one place and time, and all of them landed again: one silver row each."""
+    firsts = b.measures(spark, sf).groupBy("place", "l_shipdate").agg(F.min("l_orderkey").alias("l_orderkey"))
+    rows = b.measures(spark, sf).join(firsts, ["place", "l_shipdate", "l_orderkey"], "left_semi")
+    source, target, checkpoint = shared_folder(spark, "bronze"), shared_folder(spark, "silver"), shared_folder(spark, "progress")
+    for turn in range(2):
+        landed = b.air_bronze(rows).select((F.col("l_orderkey")).alias("id"), "data")
+        landed.write.mode("append").parquet(source)
+        incremental.stream_silver_air_quality(
+            spark, source, target, checkpoint, name=f"rerun-{uuid.uuid4().hex}", once_by=("regiao", "data_medicao")).awaitTermination()
+    return spark.read.parquet(target).select("regiao", "data_medicao", "id")
+
+
 @query("stream_silver_weather", _SILVER_WEATHER_SQL)
 def stream_silver_weather(spark, sf):
     bronze = _bronze_files(spark, b.weather_bronze(b.readings(spark, sf)))

@@ -20,9 +20,8 @@ from aerolake import model
 from aerolake.operators.changes import (
     CHANGEABLE, breaks_contract, breaks_not_null, default_uuid, has_fields, known_changes, new_email,
 )
-from aerolake.streaming.silver import install_once
+from aerolake.streaming.silver import ROCKSDB, install_once
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 REQUESTS = "ordinal bigint, op string, email string, changes map<string,string>"
 USER = ("id string, name string, email string, password string, signatureStatus string, phone_number string, "
         "role string, notifications string, created_at timestamp_ntz, updated_at timestamp_ntz")
