@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from aerolake.llm.common import query, table
 from aerolake.llm.lines import N_FEATURES, line_table
 
 SAMPLE_DOCS = 3000  # labelled documents that the field is fitted on, at most
-SAMPLE_LINES = 150  # lines that each of them gives to the fit, at most; scores use all lines
+SAMPLE_LINES = 150  # neighbouring lines that each of them gives to the fit, at most; scores use all lines
 CUT = 0.3
 FOLDS = 5
 
@@ -30,9 +31,19 @@ def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(FOLDS)).cast("int")
 
 
+def window(features: np.ndarray, text: str | None, most: int) -> np.ndarray:
+    """The rows of ``features``, or at most ``most`` neighbouring ones that a hash of the whole text
+    picks: every line is as likely to be among them, the first and the last too."""
+    if len(features) <= most:
+        return features
+    at = xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass")) % (len(features) + most - 1)
+    return features[max(0, at - most + 1):at + 1]
+
+
 def sample_lines(docs: DataFrame, labels: DataFrame, label: str = "quality", keep: Column | None = None,
                  most_docs: int = SAMPLE_DOCS, most_lines: int = SAMPLE_LINES):
-    """``(features, lengths, labels)`` of the lines of at most ``most_docs`` labelled documents.
+    """``(features, lengths, labels)`` of the lines of at most ``most_docs`` labelled documents, of
+    a longer one ``most_lines`` neighbouring lines from anywhere in it.
 
     The labelled ids of smallest hash are taken, so the sample is the same in every
     run. Rows with a null id or label count for nothing; of several labels of one id
@@ -49,7 +60,7 @@ def sample_lines(docs: DataFrame, labels: DataFrame, label: str = "quality", kee
 
     def parts(batches):
         for batch in batches:
-            found = [(line_table(text)[0][:most_lines], y) for text, y in zip(batch["text"], batch["label"])]
+            found = [(window(line_table(text)[0], text, most_lines), y) for text, y in zip(batch["text"], batch["label"])]
             yield pd.DataFrame({
                 "label": [y for _, y in found], "n": [len(x) for x, _ in found],
                 "x": [x.astype("<f4").tobytes() for x, _ in found]})

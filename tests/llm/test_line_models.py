@@ -132,3 +132,42 @@ def test_line_rules_on_labelled_documents(spark, tables):
     good = [r for r in rows if r.quality == 1 and not r.base_failed]
     assert np.mean([r.kept for r in good]) > 0.97
     assert np.mean([r.kept for r in rows if r.quality == 0]) < 0.05
+
+
+def test_long_texts_give_lines_from_anywhere():
+    taken = np.zeros(40, int)
+    for i in range(4000):
+        text = "\n".join(f"line {i} {n}" for n in range(40))
+        part = quality.window(np.arange(40)[:, None], text, 12).ravel()
+        assert 1 <= len(part) <= 12 and (np.diff(part) == 1).all()
+        assert part.tolist() == quality.window(np.arange(40)[:, None], text, 12).ravel().tolist()
+        taken[part] += 1
+    assert taken.min() > 0.8 * taken.mean() and taken.max() < 1.2 * taken.mean()
+    assert quality.window(np.arange(12)[:, None], "short", 12).ravel().tolist() == list(range(12))
+
+
+def test_the_fit_sees_the_end_of_long_texts(spark):
+    """Good and bad texts that differ in their later lines only, far behind the first ones."""
+    same = "\n".join(["A plain line of words that says little."] * 150)
+    good = [(i, same + "\n" + "\n".join([f"Some words of prose number {i} end here."] * 200)) for i in range(40)]
+    bad = [(100 + i, same + "\n" + "\n".join([f"### $$$ {i} &&& ||| %%%"] * 200)) for i in range(40)]
+    docs = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in good + bad], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in quality.quality_scores(docs, labels).collect()}
+    assert min(scores[i] for i, _ in good) > max(scores[i] for i, _ in bad) + 0.2
+
+
+def test_scores_are_weighted_marginals_over_all_labellings(spark):
+    rng = np.random.default_rng(5)
+    chain = crf.Chain(rng.normal(size=(2, lines.N_FEATURES)), rng.normal(size=(2, 2)))
+    texts = ["One line.", "a b\n\nSecond, longer line of words\nc", "###\nx\n###\nThe end.\n  \nno", "", None, " \n "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: r.s for r in rows.select("id", quality.scorer(chain)(F.col("text")).alias("s")).collect()}
+    for i, text in enumerate(texts):
+        features, weights = lines.line_table(text)
+        own = chain.scores(features)
+        total = share = 0.0
+        for labels, s in chains(chain, own, len(own)):
+            total += np.exp(s)
+            share += np.exp(s) * sum(w for w, y in zip(weights, labels) if y)
+        assert np.isclose(got[i], share / total / weights.sum() if len(own) else 0.0)
