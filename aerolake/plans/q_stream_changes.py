@@ -15,16 +15,34 @@ from aerolake.streaming import changes as keyed
 from aerolake.streaming import stats as kept
 
 
+# Requests of a micro-batch. The stateful operator holds those of one address in Python, and a third of all
+# requests is for one address.
+MOST_REQUESTS = 1_000_000
+
+
+def in_files(requests: DataFrame, folder: str) -> None:
+    """The requests appended as files of about ``MOST_REQUESTS``, each with later ordinals than the one
+    before and put down after it, so a stream that takes a file at a time meets them in order."""
+    rows = requests.select("ordinal", F.col("op").cast("string").alias("op"), "email", "changes")
+    parts = max(1, -(-rows.count() // MOST_REQUESTS))
+    cuts = [i / parts for i in range(1, parts)]
+    edges = rows.agg(F.percentile_approx("ordinal", cuts, 100 * parts)).first()[0] if cuts else []
+    edges = sorted(set(edges or []))
+    ordinal = F.col("ordinal")
+    for low, high in zip([None, *edges], [*edges, None]):
+        after, until = (F.lit(True) if low is None else ordinal > low), (F.lit(True) if high is None else ordinal <= high)
+        rows.filter(after & until).coalesce(1).write.mode("append").parquet(folder)
+
+
 def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame,
                 after_each: Callable[[str], None] | None = None) -> DataFrame:
     """The change feed of the requests: the earlier half first, the later half after a restart."""
     folder = shared_folder(spark, "keyed-changes")
     half = (requests.agg(F.max("ordinal")).first()[0] or 0) // 2
     for part in (F.col("ordinal") <= half, F.col("ordinal") > half):
-        requests.filter(part).select("ordinal", F.col("op").cast("string").alias("op"), "email", "changes").write.mode(
-            "append").parquet(f"{folder}/requests")
+        in_files(requests.filter(part), f"{folder}/requests")
         keyed.stream_changes(spark, users, f"{folder}/requests", f"{folder}/feed", f"{folder}/checkpoint",
-                             folder.rsplit("/", 1)[-1], b.now()).awaitTermination()
+                             folder.rsplit("/", 1)[-1], b.now(), files_per_batch=1).awaitTermination()
         if after_each:
             after_each(f"{folder}/feed")
     return spark.read.schema(keyed.FEED).parquet(f"{folder}/feed")

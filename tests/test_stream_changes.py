@@ -97,3 +97,25 @@ def test_all_users_gone(spark):
     gone = spark.createDataFrame([("admin", None, "no", -3)], before.schema)
     left = stats.merged_combinations(before, gone)
     assert left.collect() == [] and [(r.breakdown, r.n) for r in stats.stats_of(left).collect()] == [("total", 0)]
+
+
+def test_a_batch_holds_a_bounded_number_of_requests(spark, folder, monkeypatch):
+    """Files follow each other by ordinal, none is large, and the result is that of one at a time."""
+    from aerolake.plans import q_stream_changes
+
+    monkeypatch.setattr(q_stream_changes, "MOST_REQUESTS", 20)
+    users = [user(e) for e in EMAILS[:6]]
+    requests = random_requests(random.Random(11), 90, ["insert", "delete", "update"], EMAILS, hot_share=0.7)
+    batch = spark.createDataFrame(requests, REQUESTS)
+    q_stream_changes.in_files(batch, f"{folder}/requests")
+    files = spark.read.parquet(f"{folder}/requests").groupBy(F.input_file_name()).agg(
+        F.count("*").alias("n"), F.min("ordinal").alias("low"), F.max("ordinal").alias("high"),
+        F.max("_metadata.file_modification_time").alias("at")).orderBy("at").collect()
+    assert sum(f.n for f in files) == 90 and max(f.n for f in files) <= 30
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+    feed = q_stream_changes.in_two_runs(spark, users_df(spark, users), batch)
+    table, outcomes = serial(users, requests)
+    assert {r.ordinal: r.outcome for r in keyed.request_outcomes(feed).collect()} == outcomes
+    assert len({r.email for r in feed.collect()}) > 1
+    assert shown([{**u.asDict(), "updated_at": None, "created_at": None} for u in keyed.users_after(users_df(spark, users), feed).collect()]
+                 ) == shown([{**dict(u), "updated_at": None, "created_at": None} for u in table.values()])
