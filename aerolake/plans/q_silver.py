@@ -10,6 +10,7 @@ from aerolake.functions import documents
 from aerolake.operators import numbering, silver
 from aerolake.plans import bindings as b
 from aerolake.plans import tables
+from aerolake.plans.commits import Folder
 from aerolake.plans.registry import query
 from aerolake.session import shared_folder
 from aerolake.streaming import silver as incremental
@@ -59,11 +60,21 @@ def silver_weather(spark, sf):
     return silver.silver_weather(b.weather_bronze(b.readings(spark, sf)), ("id",))
 
 
-def _bronze_files(spark, rows, rows_per_file=5000):
-    """The rows in files of the input's own partitions, several for several micro-batches."""
+MOST_ROWS_PER_FILE = 250_000
+MOST_FILES_PER_BATCH = 32
+
+
+def _bronze_files(spark, rows):
+    """The rows in files of the input's own partitions, and how many of them make a micro-batch.
+
+    A batch costs the same few seconds however small it is, so files and batches grow with the
+    rows: some eight batches, more only when they would go beyond 32 files of 250,000 rows.
+    """
     folder = shared_folder(spark, "incoming")
-    rows.write.option("maxRecordsPerFile", rows_per_file).parquet(folder)
-    return folder
+    per_file = min(max(5000, rows.count() // 64), MOST_ROWS_PER_FILE)
+    rows.write.option("maxRecordsPerFile", per_file).parquet(folder)
+    files = sum(n.endswith(".parquet") for n in Folder(spark, folder).names())
+    return folder, min(max(2, files // 8), MOST_FILES_PER_BATCH)
 
 
 @query("stream_silver_air_quality", f"""
@@ -71,11 +82,11 @@ WITH {b.MEASURES_SQL}
 SELECT l_orderkey AS id, l_shipdate AS data_medicao, place AS regiao, {b.UNIVERSAL_COLUMNS_SQL},
        {b.BR_COLUMNS_SQL}, {b.POLLUTANT_COLUMNS_SQL} FROM measures""")
 def stream_silver_air_quality(spark, sf):
-    bronze = _bronze_files(
+    bronze, files_per_batch = _bronze_files(
         spark, _air(spark, sf).select(F.col("l_orderkey").alias("id"), "data"))
     target, checkpoint = shared_folder(spark, "silver"), shared_folder(spark, "progress")
     incremental.stream_silver_air_quality(
-        spark, bronze, target, checkpoint, name=f"air-{uuid.uuid4().hex}", files_per_batch=2
+        spark, bronze, target, checkpoint, name=f"air-{uuid.uuid4().hex}", files_per_batch=files_per_batch
     ).awaitTermination()
     return spark.read.parquet(target).drop("created_at")
 
@@ -99,10 +110,10 @@ def stream_silver_rerun(spark, sf):
 
 @query("stream_silver_weather", _SILVER_WEATHER_SQL)
 def stream_silver_weather(spark, sf):
-    bronze = _bronze_files(spark, b.weather_bronze(b.readings(spark, sf)))
+    bronze, files_per_batch = _bronze_files(spark, b.weather_bronze(b.readings(spark, sf)))
     target, checkpoint = shared_folder(spark, "silver"), shared_folder(spark, "progress")
     incremental.stream_silver_weather(
-        spark, bronze, target, checkpoint, name=f"weather-{uuid.uuid4().hex}", files_per_batch=2
+        spark, bronze, target, checkpoint, name=f"weather-{uuid.uuid4().hex}", files_per_batch=files_per_batch
     ).awaitTermination()
     return spark.read.parquet(target).drop("created_at")
 
@@ -137,11 +148,11 @@ UNION ALL
 SELECT 'quarantine', event_id, NULL, 'velocidade_vento' FROM readings WHERE event_id % 10 = 0""")
 def atomic_pair(spark, sf):
     speed = "CASE WHEN event_id % 10 = 0 THEN 123.45 ELSE speed END"
-    incoming = _bronze_files(spark, b.weather_bronze(b.readings(spark, sf), speed))
+    incoming, files_per_batch = _bronze_files(spark, b.weather_bronze(b.readings(spark, sf), speed))
     target, checkpoint = shared_folder(spark, "pair"), shared_folder(spark, "progress")
     incremental.atomic_pair(
         spark, silver.silver_weather, incoming, target, checkpoint,
-        f"pair-{uuid.uuid4().hex}", files_per_batch=2,
+        f"pair-{uuid.uuid4().hex}", files_per_batch=files_per_batch,
     ).awaitTermination()
     no_number, no_text = F.lit(None).cast("decimal(5,2)"), F.lit(None).cast("string")
     shown = {
@@ -188,10 +199,11 @@ def bronze_append_air_quality(spark, sf):
     prefix = _fresh_catalog(spark)
     tables.bronze_append_air_quality(spark, _air(spark, sf), prefix)
     stored = spark.table(f"{prefix}bronze.google_api_data")
-    return stored.select("id", documents.root_key(F.col("data")).alias("place")).agg(
-        F.count("*").alias("rows"), F.min("id").alias("first"), F.max("id").alias("last"),
-        F.countDistinct("id").alias("ids"), F.countDistinct("place").alias("places"),
-    )
+    # Two distinct counts in one aggregation would copy every row; ids are counted without the documents.
+    ids = stored.agg(
+        F.count("*").alias("rows"), F.min("id").alias("first"), F.max("id").alias("last"), F.countDistinct("id").alias("ids"))
+    places = stored.select(documents.root_key(F.col("data")).alias("place")).agg(F.countDistinct("place").alias("places"))
+    return ids.crossJoin(places)
 
 
 @query("create_schemas", """
