@@ -13,6 +13,8 @@ from aerolake.operators.skew import lookup_join
 MEASURED = {"code": "code", "name": "nome", "display_name": "display_nome", "metric_unit": "concentracao_unidade",
             "concentration": "valor"}
 PLACES = "place_id long, name string"
+# A broadcast of so many short names stays below 100 MB. This picks a path, never a result.
+FEW_PLACES = 500_000
 
 
 def long_pollutants(silver: DataFrame, keep: tuple[str, ...] = ("regiao", "data_medicao")) -> DataFrame:
@@ -40,7 +42,11 @@ def extend_places(places: DataFrame, names: DataFrame, name: str) -> DataFrame:
 
 
 def with_place_keys(rows: DataFrame, places: DataFrame, name: str) -> DataFrame:
-    """``rows`` with ``place_id`` in place of the name (null where the place has none); a place with
-    very many rows is spread."""
+    """``rows`` with ``place_id`` in place of the name (null where the place has none).
+
+    Up to ``FEW_PLACES`` places are broadcast, so no row moves and the rows are computed once; with
+    more, a place with very many rows is spread."""
     found = places.select("place_id", F.col("name").alias(name))
-    return lookup_join(rows, found, name, "left").select("place_id", *[c for c in rows.columns if c != name])
+    few = places.count() <= FEW_PLACES
+    met = rows.join(F.broadcast(found), name, "left") if few else lookup_join(rows, found, name, "left")
+    return met.select("place_id", *[c for c in rows.columns if c != name])

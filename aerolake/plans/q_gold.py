@@ -49,5 +49,5 @@ silver AS (SELECT {_KEYS}, l_shipdate AS data_medicao, place AS regiao, {b.POLLU
 long AS ({_LONG_SQL})
 SELECT p.place_id, long.* EXCLUDE (regiao) FROM long LEFT JOIN places p ON p.name = long.regiao""")
 def gold_pollutants(spark, sf):
-    rows = gold.long_pollutants(_silver(spark, sf), (*b.MEASURE_KEYS, "regiao", "data_medicao"))
-    return gold.with_place_keys(rows, _places(spark, sf), "regiao")
+    keyed = gold.with_place_keys(_silver(spark, sf), _places(spark, sf), "regiao")  # once a document, not once a pollutant
+    return gold.long_pollutants(keyed, ("place_id", *b.MEASURE_KEYS, "data_medicao"))

@@ -43,3 +43,15 @@ def test_rows_get_keys(spark):
     assert got.columns == ["place_id", "v"]
     assert {r.v: r.place_id for r in got.collect()} == {1: 1, 2: 2, 3: None, 4: None, 5: 1}
     assert rows.filter(F.col("regiao") == "a").count() == 2
+
+
+def test_few_places_move_no_rows(spark):
+    places = frame(spark, [(1, "a"), (2, "b")], gold.PLACES)
+    rows = spark.range(100).selectExpr("CASE WHEN id % 3 = 0 THEN 'a' END AS regiao", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = gold.with_place_keys(rows, places, "regiao")
+        assert "BroadcastHashJoin" in plan(got) and "hashpartitioning" not in plan(got)
+        assert got.filter("place_id = 1").count() == 34
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
