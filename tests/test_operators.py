@@ -529,3 +529,36 @@ def test_prediction_job(spark):
 
     row = etl.prediction_etl(spark, frame(spark, [("Belem",)], "city string"), stub).head()
     assert (row.q, row.dt) == ("Belem", "2025-01-06 09:00:00")
+
+
+def test_only_the_wanted_arrays_are_read(spark):
+    from aerolake.operators import silver
+
+    text = '{"p":{"datetime":"2025-01-01T00:00:00Z","indexes":[{"aqi":5}],"pollutants":["odd",{"code":"co"}]}}'
+    rows = frame(spark, [(text,)], "data string")
+    for build, there, skipped in ((silver.aq_index_universal, "indexes", "pollutants"), (silver.aq_index_br, "indexes", "pollutants"),
+                                  (silver.aq_pollutants_wide, "pollutants", "indexes")):
+        shown = plan(build(rows))
+        assert there in shown and skipped not in shown
+    assert silver.aq_index_universal(rows).head().aqi_universal == 5
+    assert silver.aq_pollutants_wide(rows).head().no2_code == "co"
+
+
+@pytest.mark.parametrize("flag, status, price", [
+    ("A", "F", 1234567), ("A\n", "é", 1234567), ('"', "\\", 10), (None, "O", 9), ("R", None, 0), (" ", "O", None)])
+def test_documents_as_text_equal_the_json_writer(spark, flag, status, price):
+    from aerolake import model
+    from aerolake.plans import bindings as b
+
+    rows = spark.createDataFrame([(flag, status, price, 7, 3)],
+                                 "l_returnflag string, l_linestatus string, price long, quantity int, l_linenumber int").selectExpr(
+        "*", "0.10 AS discount", "0.00 AS tax", "0.35 AS br_green",
+        *[f"CAST(price * {i + 1} % 9999999999 AS DECIMAL(18,0)) * 0.0000001 AS p{i}" for i in range(len(model.POLLUTANTS))])
+    for position in (0, 1):
+        text, want = rows.selectExpr(b._block(position), f"to_json({b._BLOCKS[position]})").head()
+        assert text == want
+    for i, prefix in enumerate(model.POLLUTANTS):
+        text, want = rows.selectExpr(b._pollutant(i, prefix), "to_json(named_struct("
+                                     f"'code', '{prefix}', 'displayName', upper('{prefix}'), 'fullName', concat('name of ', '{prefix}'), "
+                                     f"'concentration', named_struct('value', p{i}, 'units', 'PARTS_PER_BILLION')))").head()
+        assert text == want
