@@ -31,9 +31,12 @@ def json_members(text: Column) -> Column:
     types = F.map_entries(whole_json(text, "map<string,variant>"))
 
     def member(both: Column) -> Column:
-        value, kind = both["0"]["value"], F.schema_of_variant(both["1"]["value"])
-        return F.struct(both["0"]["key"].alias("key"), F.when(value.isNull(), F.lit("null"))
-                        .when(kind == "STRING", json_string(value)).otherwise(value).alias("json"))
+        value, parsed = both["0"]["value"], both["1"]["value"]
+        # The schema of a list or object names all that is in it; that it is one can be told from its outside.
+        nested = F.when(value.startswith("["), F.try_variant_get(parsed, "$", "array<variant>").isNotNull()).when(
+            value.startswith("{"), F.try_variant_get(parsed, "$", "map<string,variant>").isNotNull()).otherwise(False)
+        return F.struct(both["0"]["key"].alias("key"), F.when(value.isNull(), F.lit("null")).when(nested, value)
+                        .when(F.schema_of_variant(parsed) == "STRING", json_string(value)).otherwise(value).alias("json"))
 
     return F.transform(F.arrays_zip(texts, types), member)
 
@@ -68,7 +71,9 @@ def root_entry(entries: Column) -> Column:
 
 
 def root_key(data: Column) -> Column:
-    keys = F.map_keys(whole_json(data, "map<string,string>"))
+    # Values that are objects are passed over; only when some are not is every value read as text.
+    objects = F.map_keys(whole_json(data, "map<string,struct<_:struct<_:string>>>"))
+    keys = F.coalesce(objects, F.map_keys(whole_json(data, "map<string,string>")))
     ranked = F.transform(
         keys, lambda k: F.struct(F.octet_length(k).alias("width"), k.alias("root"))
     )

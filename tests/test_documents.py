@@ -209,3 +209,16 @@ def test_json_values_keep_their_type(spark, value):
 def test_what_is_no_json_object_is_refused(spark, text):
     assert one(spark, documents.json_members(F.col("s")), text) is None
     assert one(spark, documents.parse_document(F.col("s"), "struct<x:string>"), text) is None
+
+
+def test_members_that_look_nested_keep_their_type(spark):
+    text = '{"a":[1,"x"],"b":"[1]","c":{"k":[]},"d":"{\\"k\\":1}","e":[],"f":"[x","g":7.0,"h":"7.0"}'
+    got = {m["key"]: m["json"] for m in one(spark, documents.json_members(F.col("s")), text)}
+    assert got == {"a": '[1,"x"]', "b": '"[1]"', "c": '{"k":[]}', "d": '"{\\"k\\":1}"', "e": "[]", "f": '"[x"', "g": "7.0", "h": '"7.0"'}
+
+
+def test_root_key_passes_over_objects(spark):
+    rows = spark.createDataFrame([('{"long":{"a":1},"k":{"b":{"c":[2]}}}',), ('{"k":5,"x":{"y":1}}',), ('{"k":{}} 1',)], "s string")
+    shown = rows.select(documents.root_key(F.col("s")).alias("k"))
+    assert "StructField" in shown._jdf.queryExecution().executedPlan().toString()
+    assert [r.k for r in shown.collect()] == ["k", "k", None]
