@@ -223,7 +223,7 @@ def touch_updated_at(touched: Column, now: Column, old: Column) -> Column:
     return F.when(touched, now.cast("timestamp_ntz")).otherwise(old)
 
 
-def apply_fold(rows: DataFrame, now: Column) -> DataFrame:
+def apply_fold(rows: DataFrame, now: Column, extra: tuple[str, ...] = ()) -> DataFrame:
     """User rows that were left-joined with ``fold_changes``, changed."""
     touched = F.lit(False)
     values = {c: F.col(c) for c in model.USER_COLUMNS}
@@ -232,7 +232,7 @@ def apply_fold(rows: DataFrame, now: Column) -> DataFrame:
         values[field] = F.when(last.isNotNull(), last["v"]).otherwise(F.col(field))
         touched = touched | (last.isNotNull() & _differs(field, F.col(field)))
     values["updated_at"] = touch_updated_at(touched, now, F.col("updated_at"))
-    return rows.select(*[values[c].alias(c) for c in model.USER_COLUMNS])
+    return rows.select(*[values[c].alias(c) for c in model.USER_COLUMNS], *extra)
 
 
 def partial_update(users: DataFrame, requests: DataFrame,

@@ -67,9 +67,11 @@ class Folder:
         finally:
             stream.close()
 
-    def move(self, name: str, to: "Folder") -> None:
-        """Move a file; nothing happens when it was moved before."""
+    def move(self, name: str, to: "Folder", at: int | None = None) -> None:
+        """Move a file; nothing happens when it was moved before. With ``at``, milliseconds, as one of that time."""
         to.fs.mkdirs(to.path)
+        if at is not None:
+            self.fs.setTimes(self._at(name), at, -1)
         if not self.fs.rename(self._at(name), to._at(name)) and not to.fs.exists(to._at(name)):
             raise OSError(f"{name} could not be moved from {self.path} to {to.path}")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,29 +11,36 @@ from pyspark.sql import functions as F
 
 from aerolake.plans import bindings as b
 from aerolake.plans import q_users  # noqa: F401  the SQL twins
+from aerolake.plans.commits import Folder
 from aerolake.plans.registry import ORACLES, query
 from aerolake.session import shared_folder
 from aerolake.streaming import changes as keyed
 from aerolake.streaming import stats as kept
 
 
-# Requests of a micro-batch. The stateful operator holds those of one address in Python, and a third of all
-# requests is for one address.
+# Requests of a file, and files of a micro-batch. A batch reads and writes the stored users once, whatever
+# its size, and its requests are spread over all tasks.
 MOST_REQUESTS = 1_000_000
+FILES_PER_BATCH = 32
 
 
 def in_files(requests: DataFrame, folder: str) -> None:
     """The requests appended as files of about ``MOST_REQUESTS``, each with later ordinals than the one
-    before and put down after it, so a stream that takes a file at a time meets them in order."""
+    before and an arrival after it, so a stream that takes some files at a time meets them in order.
+
+    All files are written in parallel; arriving is a move."""
+    spark = requests.sparkSession
     rows = requests.select("ordinal", F.col("op").cast("string").alias("op"), "email", "changes")
     parts = max(1, -(-rows.count() // MOST_REQUESTS))
-    cuts = [i / parts for i in range(1, parts)]
-    edges = rows.agg(F.percentile_approx("ordinal", cuts, 100 * parts)).first()[0] if cuts else []
-    edges = sorted(set(edges or []))
-    ordinal = F.col("ordinal")
-    for low, high in zip([None, *edges], [*edges, None]):
-        after, until = (F.lit(True) if low is None else ordinal > low), (F.lit(True) if high is None else ordinal <= high)
-        rows.filter(after & until).coalesce(1).write.mode("append").parquet(folder)
+    if parts == 1:
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        return
+    staged, target = Folder(spark, f"{folder}/_staged-{uuid.uuid4().hex}"), Folder(spark, folder)
+    rows.repartitionByRange(parts, "ordinal").write.parquet(staged.path.toString())
+    arrival = int(time.time() * 1000)
+    for turn, file in enumerate(n for n in staged.names() if n.startswith("part-")):
+        staged.move(file, target, arrival + turn)
+    staged.delete()
 
 
 def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame,
@@ -42,7 +51,7 @@ def in_two_runs(spark: SparkSession, users: DataFrame, requests: DataFrame,
     for part in (F.col("ordinal") <= half, F.col("ordinal") > half):
         in_files(requests.filter(part), f"{folder}/requests")
         keyed.stream_changes(spark, users, f"{folder}/requests", f"{folder}/feed", f"{folder}/checkpoint",
-                             folder.rsplit("/", 1)[-1], b.now(), files_per_batch=1).awaitTermination()
+                             folder.rsplit("/", 1)[-1], b.now(), files_per_batch=FILES_PER_BATCH).awaitTermination()
         if after_each:
             after_each(f"{folder}/feed")
     return spark.read.schema(keyed.FEED).parquet(f"{folder}/feed")

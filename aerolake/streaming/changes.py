@@ -1,35 +1,39 @@
-"""Keyed changes as a stream: every request meets its user in a state store.
+"""Keyed changes as a stream: every batch of requests meets the stored users, kept beside the checkpoint.
 
-The state of an e-mail is its user row, kept by RocksDB below the checkpoint, so a
-request costs what it touches and not a pass over all users. What can be told from a
-request alone (its contract, its known fields, the id a new user would get) is computed
-by Spark before; the stateful operator only follows the rows of one address. The output is a
-change feed: an outcome per request and, per address and batch, the user as it then is and was.
+The state of an e-mail is its user row. A batch reads the version of the state that the batch before
+left and writes the next one, all by joins and aggregations over addresses, so the requests of one
+address in one batch are spread like any others. The output is a change feed: an outcome per request
+and, per address and batch, the user as it then is and was. Files of the feed come by a commit named
+after the batch, so a batch that is run again adds nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from aerolake import model
 from aerolake.operators.changes import (
-    CHANGEABLE, breaks_contract, breaks_not_null, default_uuid, has_fields, known_changes, new_email,
+    ORIGINAL, SPAN, apply_fold, breaks_contract, breaks_not_null, fold_changes, has_fields, inserted_rows,
+    known_changes, new_email, state_before,
 )
-from aerolake.streaming.silver import ROCKSDB, install_once
+from aerolake.plans.commits import Folder, Output, commit, finish
+from aerolake.session import shared_folder
+from aerolake.streaming.silver import install_once
 
 REQUESTS = "ordinal bigint, op string, email string, changes map<string,string>"
 USER = ("id string, name string, email string, password string, signatureStatus string, phone_number string, "
         "role string, notifications string, created_at timestamp_ntz, updated_at timestamp_ntz")
 FEED = f"kind string, email string, ordinal bigint, op string, outcome string, user struct<{USER}>, before struct<{USER}>"
+READY = f"{REQUESTS}, refused boolean, fields boolean, rejected boolean, turn bigint"
+STATE = f"email string, user struct<{USER}>"
+_TYPES = [pair.split(" ") for pair in USER.split(", ")]
 
 
-def ready_requests(requests: DataFrame, now: Column, salt: str = "user") -> DataFrame:
-    """Requests with all that can be said of them before their user is known.
+def ready_requests(requests: DataFrame) -> DataFrame:
+    """Requests with all that can be said of them before their user is known, and the ``turn``
+    of those with one ordinal.
 
     A change of e-mail touches two addresses and so is no request of this stream: it stops
     the stream with an error, as it stops ``partial_update``; ``apply_changes`` takes it.
@@ -38,62 +42,115 @@ def ready_requests(requests: DataFrame, now: Column, salt: str = "user") -> Data
     moving = (F.col("op") == "update") & new_email().isNotNull()
     stays = F.when(moving, F.raise_error(F.lit("a change of e-mail needs apply_changes"))).otherwise(F.col("email"))
     return known.select(
-        stays.alias("email"), "ordinal", "op", "changes", breaks_contract(F.col("op")).alias("refused"),
-        has_fields().alias("fields"), breaks_not_null().alias("rejected"),
-        default_uuid(F.lit(salt), F.col("email"), F.col("ordinal")).alias("new_id"),
-        now.cast("timestamp_ntz").alias("at"))
-
-
-def after_request(user: dict[str, Any] | None, r: Row) -> tuple[str, dict[str, Any] | None]:
-    """The outcome of one request and the user behind it, given the user before it."""
-    changes = dict(r["changes"] or ())
-    if r["refused"]:
-        return "rejected", user
-    if r["op"] == "insert":
-        if user:
-            return "conflict", user
-        new = {c: changes.get(c) for c in CHANGEABLE} | {"email": r["email"], "id": r["new_id"], "created_at": r["at"]}
-        return "ok", {c: new.get(c) for c in model.USER_COLUMNS}
-    if not user:
-        return "not_found", None
-    if r["op"] == "delete":
-        return "ok", None
-    if not r["fields"]:
-        return "no_fields", user
-    if r["rejected"]:
-        return "rejected", user
-    differs = any(user[c] != v for c, v in changes.items())
-    return "ok", user | changes | ({"updated_at": r["at"]} if differs else {})
-
-
-class KeyedChanges(StatefulProcessor):
-    """One address after another: its requests in ordinal order against its stored user."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("user", USER)
-
-    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
-        self.state.update(tuple(initialState[c] for c in model.USER_COLUMNS))
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        stored = self.state.get() if self.state.exists() else None
-        user = before = dict(zip(model.USER_COLUMNS, stored)) if stored else None
-        last = None
-        # Requests of one address in one batch; the batch is bounded by ``files_per_batch``.
-        for r in sorted(rows, key=lambda r: r["ordinal"]):
-            outcome, user = after_request(user, r)
-            last = r["ordinal"]
-            yield Row(kind="request", email=r["email"], ordinal=last, op=r["op"], outcome=outcome, user=None, before=None)
-        if user != before:
-            if user:
-                self.state.update(tuple(user[c] for c in model.USER_COLUMNS))
-            else:
-                self.state.clear()
-            then, now = (Row(*model.USER_COLUMNS)(*[u[c] for c in model.USER_COLUMNS]) if u else None for u in (before, user))
-            yield Row(kind="user", email=key[0], ordinal=last, op=None, outcome=None, user=now, before=then)
-
-    def close(self) -> None:
-        pass
+        "ordinal", "op", stays.alias("email"), "changes", breaks_contract(F.col("op")).alias("refused"),
+        has_fields().alias("fields"), breaks_not_null().alias("rejected"), F.monotonically_increasing_id().alias("turn"))
+
+
+def _inserts() -> Column:
+    return F.col("op").eqNullSafe("insert") & ~F.col("refused")
+
+
+def _deletes() -> Column:
+    return F.col("op").eqNullSafe("delete") & ~F.col("refused")
+
+
+def in_lives(ready: DataFrame, span: int = SPAN) -> DataFrame:
+    """Requests (with an e-mail) with ``life``: the ordinal of the last delete before them, ``ORIGINAL`` if
+    there was none. Whoever had the address before, nobody has it where a later life begins."""
+    deleted = ready.filter(_deletes()).select("email").distinct()
+    if deleted.isEmpty():
+        return ready.withColumn("life", F.lit(ORIGINAL).cast("bigint"))
+    marked = ready.join(deleted.withColumn("_ends", F.lit(True)), "email", "left")
+    some = marked.filter("_ends").drop("_ends").withColumn("state", F.when(_deletes(), F.col("ordinal")))
+    some = state_before(some.withColumn("start", F.lit(ORIGINAL).cast("bigint")), ("email",), span)
+    others = marked.filter("_ends IS NULL").drop("_ends").withColumn("life", F.lit(ORIGINAL).cast("bigint"))
+    return some.withColumnRenamed("before", "life").drop("state", "start").unionByName(others)
+
+
+def judge(lived: DataFrame, state: DataFrame) -> DataFrame:
+    """Requests with the ``outcome`` that one at a time, in the order of (ordinal, turn), would have given.
+
+    An address has a user where its life began with one or has seen an insert, so one row per
+    life, made map-side, tells all of its requests what they meet."""
+    at = F.struct("ordinal", "turn")
+    # Which of several inserts came first; no life goes on after a delete.
+    lives = lived.filter("email IS NOT NULL").groupBy("email", "life").agg(F.min(F.when(_inserts(), at)).alias("_first"))
+    owned = state.select("email", F.lit(ORIGINAL).cast("bigint").alias("life"), F.lit(True).alias("_owned"))
+    lives = lives.join(owned, ["email", "life"], "left")
+    met = lived.join(lives, ["email", "life"], "left")
+    present = F.coalesce("_owned", F.lit(False)) | F.coalesce(F.col("_first") < at, F.lit(False))
+    outcome = (F.when(F.col("refused"), "rejected")
+               .when(F.col("op").eqNullSafe("insert"), F.when(present, "conflict").otherwise("ok"))
+               .when(~present, "not_found").when(F.col("op").eqNullSafe("delete"), "ok")
+               .when(~F.col("fields"), "no_fields").when(F.col("rejected"), "rejected").otherwise("ok"))
+    return met.select("ordinal", "op", "email", "life", outcome.alias("outcome"), F.when(outcome == "ok", F.col("changes")).alias("changes"))
+
+
+def users_met(judged: DataFrame, state: DataFrame, now: Column, salt: str = "user") -> DataFrame:
+    """Per address of the judged requests, in its last life: ``email, ordinal`` (its last one), the user
+    ``before`` all of them and the ``user`` after them."""
+    real = judged.filter("email IS NOT NULL")
+    last_delete = F.max(F.when(F.col("op").eqNullSafe("delete") & (F.col("outcome") != "rejected"), F.col("ordinal")))
+    touched = real.groupBy(F.col("email").alias("_address")).agg(
+        F.max("ordinal").alias("_ordinal"), F.coalesce(last_delete, F.lit(ORIGINAL)).alias("_life"))
+    ok = real.filter("outcome = 'ok'")
+    come = inserted_rows(ok.filter("op = 'insert'"), now, salt, ("email", "life"))
+    come = come.toDF(*model.USER_COLUMNS, "_address", "_life").select("_address", "_life", _user(come.columns).alias("_new"))
+    key = F.struct("email", "life")
+    changed = fold_changes(ok.filter("NOT op <=> 'insert' AND NOT op <=> 'delete'").withColumn("_key", key), "_key").select(
+        F.col("_key.email").alias("_address"), F.col("_key.life").alias("_life"), "*").drop("_key")
+    stored = state.select(F.col("email").alias("_address"), F.col("user").alias("_before"))
+    met = (touched.join(stored, "_address", "left").join(come, ["_address", "_life"], "left")
+           .join(changed, ["_address", "_life"], "left"))
+    base = F.coalesce(F.when(F.col("_life") == ORIGINAL, F.col("_before")), F.col("_new"))
+    rows = met.withColumn("_base", base).withColumns({c: F.col("_base")[c] for c in model.USER_COLUMNS})
+    after = apply_fold(rows, now, ("_address", "_ordinal", "_before", "_base"))
+    return after.select(
+        F.col("_address").alias("email"), F.col("_ordinal").alias("ordinal"), F.col("_before").alias("before"),
+        F.when(F.col("_base").isNotNull(), _user(model.USER_COLUMNS)).alias("user"))
+
+
+def _user(columns) -> Column:
+    return F.struct(*[F.col(c).cast(t).alias(c) for c, t in _TYPES])
+
+
+def _stored(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def _fill(spark: SparkSession, users: DataFrame, home: str) -> None:
+    """The first version of the state, written once."""
+    if any("_SUCCESS" in Folder(spark, f"{home}/{n}").names() for n in Folder(spark, home).names() if n.startswith("v=")):
+        return
+    rows = users.filter("email IS NOT NULL").dropDuplicates(["email"])
+    rows.select("email", _user(model.USER_COLUMNS).alias("user")).write.mode("overwrite").parquet(f"{home}/v=0")
+
+
+def change_users(spark: SparkSession, requests: DataFrame, home: str, feed: str, version: int, now: Column,
+                 salt: str = "user") -> None:
+    """One batch of requests against version ``version`` of the state at ``home``: the next version, and what
+    happened to ``feed``. Does nothing when the batch has reached the feed before."""
+    run = f"batch-{version}"
+    finish(spark, home)
+    if f"{run}.done" in Folder(spark, f"{home}/_commits").names():
+        return
+    state = spark.read.schema(STATE).parquet(f"{home}/v={version}")
+    folder = shared_folder(spark, "changes")
+    ready = _stored(spark, ready_requests(requests), f"{folder}/ready")
+    judged = _stored(spark, judge(in_lives(ready), state), f"{folder}/judged")
+    met = _stored(spark, users_met(judged, state, now, salt).filter("NOT before <=> user"), f"{folder}/met")
+    kept = state.join(met.select("email"), "email", "left_anti")
+    changed = met.filter("user IS NOT NULL").select("email", "user")
+    kept.unionByName(changed).write.mode("overwrite").parquet(f"{home}/v={version + 1}")
+    none = F.lit(None)
+    told = judged.select(F.lit("request").alias("kind"), "email", "ordinal", "op", "outcome",
+                         none.cast(f"struct<{USER}>").alias("user"), none.cast(f"struct<{USER}>").alias("before"))
+    told = told.unionByName(met.select(F.lit("user").alias("kind"), "email", "ordinal", none.cast("string").alias("op"),
+                                       none.cast("string").alias("outcome"), "user", "before"))
+    commit(spark, home, run, [Output(told, feed)])
+    for old in (folder, f"{home}/v={version - 1}"):  # a batch that is run again needs the version before it only
+        Folder(spark, old).delete()
 
 
 def stream_changes(spark: SparkSession, users: DataFrame, requests: str, feed: str, checkpoint: str, name: str,
@@ -105,17 +162,18 @@ def stream_changes(spark: SparkSession, users: DataFrame, requests: str, feed: s
     of an address run in ordinal order; a batch comes after the ones before it, so files
     should arrive in the order of their ordinals. Requests without an e-mail meet no user.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    home = f"{checkpoint}-users"
     reader = spark.readStream.schema(REQUESTS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        change_users(spark, batch, home, feed, batch_id, now, salt)
+
     def start() -> StreamingQuery:
-        filled = users.select(*[F.col(c).cast(t) for c, t in (pair.split(" ") for pair in USER.split(", "))]).groupBy("email")
-        changed = ready_requests(reader.parquet(requests), now, salt).groupBy("email").transformWithState(
-            KeyedChanges(), FEED, "append", "None", filled)
-        return (changed.writeStream.queryName(name).option("checkpointLocation", checkpoint)
-                .outputMode("append").trigger(availableNow=True).format("parquet").start(feed))
+        _fill(spark, users, home)
+        return (reader.parquet(requests).writeStream.queryName(name).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).foreachBatch(merge).start())
 
     return install_once(spark, name, start)
 

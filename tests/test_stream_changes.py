@@ -119,3 +119,33 @@ def test_a_batch_holds_a_bounded_number_of_requests(spark, folder, monkeypatch):
     assert len({r.email for r in feed.collect()}) > 1
     assert shown([{**u.asDict(), "updated_at": None, "created_at": None} for u in keyed.users_after(users_df(spark, users), feed).collect()]
                  ) == shown([{**dict(u), "updated_at": None, "created_at": None} for u in table.values()])
+
+
+def test_one_address_in_one_batch_is_judged_in_parts(spark, folder):
+    """Spans of a few ordinals, most requests for one address, and two with one ordinal: as one at a time."""
+    users = [user(e) for e in EMAILS[:4]]
+    requests = random_requests(random.Random(3), 120, ["insert", "delete", "update"], EMAILS, hot_share=0.8)
+    state = users_df(spark, users)
+    keyed._fill(spark, state, f"{folder}/home")
+    stored = spark.read.schema(keyed.STATE).parquet(f"{folder}/home/v=0")
+    batch = spark.createDataFrame(requests, REQUESTS)
+    judged = keyed.judge(keyed.in_lives(keyed._stored(spark, keyed.ready_requests(batch), f"{folder}/ready"), span=7), stored)
+    assert {r.ordinal: r.outcome for r in judged.collect()} == serial(users, requests)[1]
+    fresh = [(0, "insert", "new@x.org", {"name": "N", "phone_number": "559100000000", "password": "long enough"})] * 2
+    twice = keyed._stored(spark, keyed.ready_requests(spark.createDataFrame(fresh, REQUESTS)), f"{folder}/twice")
+    assert sorted(r.outcome for r in keyed.judge(keyed.in_lives(twice), stored).collect()) == ["conflict", "ok"]
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, folder):
+    """It died before or after its commit: the feed has it once and the next state is the same."""
+    home, feed = f"{folder}/home", f"{folder}/feed"
+    keyed._fill(spark, users_df(spark, [user("a@x.org"), user("b@x.org")]), home)
+    batch = spark.createDataFrame([(0, "update", "a@x.org", {"name": "n"}), (1, "delete", "b@x.org", {})], REQUESTS)
+    shows = lambda: (sorted(map(repr, spark.read.schema(keyed.FEED).parquet(feed).collect())),
+                     sorted(map(repr, spark.read.schema(keyed.STATE).parquet(f"{home}/v=1").collect())))
+    keyed.change_users(spark, batch, home, feed, 0, F.lit(NOW))
+    first = shows()
+    keyed.change_users(spark, batch, home, feed, 0, F.lit(NOW))
+    os.unlink(f"{home}/_commits/batch-0.done")  # it died before it was finished
+    keyed.change_users(spark, batch, home, feed, 0, F.lit(NOW))
+    assert shows() == first and len(first[0]) == 4 and len(first[1]) == 1
