@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake import model
+from aerolake.operators import numbering
 from aerolake.operators.numbering import surrogate_id
 from aerolake.plans.commits import Folder, Output, commit, finish, reserve_ids
 from aerolake.session import shared_folder
@@ -72,7 +73,36 @@ def bronze_rows(spark: SparkSession, documents: DataFrame, table: str,
 def bronze_append(spark: SparkSession, documents: DataFrame, table: str,
                   order_by: tuple[str, ...] = ()) -> None:
     """Append ``data`` rows with fresh ids, as one distributed write."""
-    bronze_rows(spark, documents, table, order_by).write.insertInto(table)
+    rows = None if order_by else _append_counted(spark, documents, table)
+    if order_by or rows is not None:
+        bronze_rows(spark, documents if rows is None else rows, table, order_by).write.insertInto(table)
+
+
+def _append_counted(spark: SparkSession, documents: DataFrame, table: str) -> DataFrame | None:
+    """Append ``data`` rows, stored only once: rows per task are counted first, without the documents.
+
+    The files get a place below the table that no reader sees and are moved from there when their
+    ids are seen to follow each other. Input that came in other tasks than it was counted in stays
+    there and is returned, to be numbered as it is stored."""
+    task, row = numbering.position(F.monotonically_increasing_id())
+    offsets = numbering.task_offsets(documents.groupBy(F.spark_partition_id().cast("bigint").alias("_task")).agg(F.count("*").alias("_rows")))
+    offsets = spark.createDataFrame(offsets.collect(), "_task bigint, _before bigint, _rows bigint")
+    count = offsets.agg(F.sum("_rows")).first()[0] or 0
+    home = location_of(spark, table)
+    before = reserve_ids(spark, table, home, count)
+    staged = Folder(spark, f"{home}/_staged/{uuid.uuid4().hex}")
+    placed = documents.select(F.col("data").cast("string"), task.alias("_task"), row.alias("_row"))
+    numbered = placed.join(F.broadcast(offsets.drop("_rows")), "_task", "left")
+    numbered.select((F.lit(before + 1) + F.col("_before") + F.col("_row")).alias("id"), "data").write.parquet(staged.path.toString())
+    stored = spark.read.schema(model.BRONZE_DDL).parquet(staged.path.toString())
+    if not numbering.are_gapless(stored, "id", before + 1, before + count):
+        return stored.select("data")
+    for name in staged.names():
+        if name.startswith("part-"):
+            staged.move(name, Folder(spark, home))
+    staged.delete()
+    spark.catalog.refreshTable(table)
+    return None
 
 
 AIR_BRONZE = "bronze.google_api_data"

